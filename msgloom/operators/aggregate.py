@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +52,8 @@ def row_counts(
 ) -> tuple[DataFrame, Observation]:
     """The same rows, with their number (and that of each condition) observed on the way.
 
-    The counts come with the job that writes the frame; nothing is read a second time.
+    The counts come with the job that writes the frame; nothing is read a second time. Put
+    this after the last shuffle: a stage that is run again there would count rows twice.
     """
     observation = Observation(name)
     counts = [F.count(F.lit(1)).alias("rows")]
@@ -59,6 +61,20 @@ def row_counts(
     return df.observe(observation, *counts), observation
 
 
+def observed(observation: Observation) -> dict:
+    """What was observed; empty if no row came.
+
+    Once adaptive execution finds a frame empty, it drops the frame's plan together with
+    the observation, which then has no values to give.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
 def lines_summary(df: DataFrame, cleaned: Column) -> DataFrame:
     """Lines processed and lines cleaned, as one row."""
     return df.agg(

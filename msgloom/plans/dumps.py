@@ -34,7 +34,10 @@ def clean_dump(
     bad, left = aggregate.row_counts(bad, f"{run_id}-bad")
     writers.write_csv(good, target)
     writers.write_csv(bad, rejected)
-    metrics = {"rows": kept.get["rows"], "rejected": left.get["rows"]}
+    metrics = {
+        "rows": aggregate.observed(kept).get("rows", 0),
+        "rejected": aggregate.observed(left).get("rows", 0),
+    }
     writers.write_run_log(spark, run_log, run_id, "dump", as_of, metrics, metrics["rows"])
     return metrics
 
@@ -58,7 +61,11 @@ def clean_mixed(
         mixed_lines(read_sql_dump(spark, source)), run_id, cleaned=F.col("cleaned")
     )
     writers.write_lines(lines, target)
-    metrics = {"lines_processed": seen.get["rows"], "lines_cleaned": seen.get["cleaned"]}
+    found = aggregate.observed(seen)
+    metrics = {
+        "lines_processed": found.get("rows", 0),
+        "lines_cleaned": found.get("cleaned", 0),
+    }
     writers.write_run_log(
         spark, run_log, run_id, "mixed", as_of, metrics, metrics["lines_processed"]
     )

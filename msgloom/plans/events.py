@@ -199,27 +199,28 @@ def run(
         )
         raw = to_raw(landed, lineage, as_of, settings)
         writers.overwrite_partitions(raw, layers.raw, DAY)
-        metrics["landing_rows"] = seen.get["rows"]
-        days = spark.createDataFrame(
-            [tuple(d) for d in seen.get["days"]], "year INT, month STRING, day STRING"
-        )
+        metrics["landing_rows"] = aggregate.observed(seen).get("rows", 0)
+        present = [tuple(day) for day in aggregate.observed(seen).get("days", [])]
+        days = spark.createDataFrame(present, "year INT, month STRING, day STRING")
         batches = aggregate.run_batch_counter(days, list(DAY))
 
         # After a shuffle every task holds rows of every day: gather them by day before
         # writing, or each day would get a file from each task.
         raw = _written(spark, layers.raw, start, end, raw.columns)
         optimized, seen = aggregate.row_counts(
-            to_optimized(raw, as_of, settings), f"{run_id}-optimized"
+            writers.compact(to_optimized(raw, as_of, settings), *DAY), f"{run_id}-optimized"
         )
-        writers.overwrite_partitions(writers.compact(optimized, *DAY), layers.optimized, DAY)
-        metrics["optimized_rows"] = seen.get["rows"]
+        writers.overwrite_partitions(optimized, layers.optimized, DAY)
+        metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
 
         done = _written(spark, layers.optimized, start, end, optimized.columns)
         unified = to_unified(done, batches, as_of, settings, keep_day=True)
-        unified, seen = aggregate.row_counts(unified, f"{run_id}-unified")
         keys = ["connector_id", "landing_day"]
-        writers.overwrite_partitions(writers.compact(unified, *keys), layers.unified, keys)
-        metrics["unified_rows"] = seen.get["rows"]
+        unified, seen = aggregate.row_counts(
+            writers.compact(unified, *keys), f"{run_id}-unified"
+        )
+        writers.overwrite_partitions(unified, layers.unified, keys)
+        metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)
     except Exception as error:
         writers.write_run_log(spark, layers.run_log, error=str(error), **log)
         raise

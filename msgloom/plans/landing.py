@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from msgloom import config
 from msgloom.functions.times import When, date_parts, moment
+from msgloom.operators import aggregate
 from msgloom.plans.notifications import existing_layer
 from msgloom.sinks import writers
 from msgloom.sources import readers
@@ -96,8 +97,9 @@ def run(
             seen, F.count(F.lit(1)).alias("rows"), position
         )
         writers.write_ndjson(out, landing, max_records, ["since", *days])
-        total = seen.get["rows"]
-        end = seen.get["position"] or cursor
+        found = aggregate.observed(seen)
+        total = found.get("rows", 0)
+        end = found.get("position") or cursor
     except Exception as error:
         writers.write_run_log(
             spark, run_log, run_id, job, as_of, start_cursor=cursor, error=str(error)

@@ -193,7 +193,10 @@ def run(
     writers.overwrite_partitions(sent, sent_path, [*day, "run_id"])
     bad, left = aggregate.row_counts(invalid, f"{run_id}-rejected")
     writers.overwrite_partitions(bad.withColumn("run_id", F.lit(run_id)), rejected_path, ["run_id"])
-    metrics = {"sent_rows": seen.get["rows"], "rejected_rows": left.get["rows"]}
+    metrics = {
+        "sent_rows": aggregate.observed(seen).get("rows", 0),
+        "rejected_rows": aggregate.observed(left).get("rows", 0),
+    }
     writers.write_run_log(
         spark, run_log, run_id, "leads", as_of, metrics, metrics["sent_rows"]
     )

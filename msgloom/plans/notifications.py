@@ -197,19 +197,18 @@ def run(spark: SparkSession, layers: Layers, lineage: Lineage, as_of: dt.datetim
         raw = to_raw(landed, lineage, as_of, _next_batch(known), layers.landing)
         if known is not None:
             raw = dedup.anti_new_rows(raw, known, "record_id")
-        channels = {
-            kind.lower(): F.col("eventtype") == kind for kind in ("EMAIL", "SMS", "PUSH_NOTIFICATION")
-        }
+        kinds = ("EMAIL", "SMS", "PUSH_NOTIFICATION")
+        channels = {kind.lower(): F.col("eventtype") == kind for kind in kinds}
         raw, seen = aggregate.row_counts(raw, f"{run_id}-raw", **channels)
         writers.append_layer(raw, layers.raw)
-        metrics.update({f"raw_{k}": v for k, v in seen.get.items()})
+        metrics.update({f"raw_{k}": v for k, v in aggregate.observed(seen).items()})
 
         day = readers.read_layer_or_previous(spark, layers.raw, as_of)
         earlier = existing_layer(spark, layers.optimized)
         optimized = to_optimized(day, as_of, _next_batch(earlier))
         optimized, seen = aggregate.row_counts(optimized, f"{run_id}-optimized")
         writers.overwrite_partitions(optimized, layers.optimized, ["processing_date"])
-        metrics["optimized_rows"] = seen.get["rows"]
+        metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
 
         done = readers.read_layer_or_previous(spark, layers.optimized, as_of)
         done = done.withColumn("processing_date", F.col("processing_date").cast("string"))
@@ -217,16 +216,16 @@ def run(spark: SparkSession, layers: Layers, lineage: Lineage, as_of: dt.datetim
         unified = to_unified(done, as_of, (highest or 0) + 1)
         if spark.catalog.tableExists(layers.table):
             unified = dedup.anti_new_rows(unified, spark.table(layers.table), "source_id")
-        unified, seen = aggregate.row_counts(unified, f"{run_id}-unified")
         partitions = ["connector_id", "event_date"]
-        writers.append_table(
-            writers.compact(unified, *partitions), layers.table, partitions, layers.table_path
+        unified, seen = aggregate.row_counts(
+            writers.compact(unified, *partitions), f"{run_id}-unified"
         )
-        metrics["unified_rows"] = seen.get["rows"]
+        writers.append_table(unified, layers.table, partitions, layers.table_path)
+        metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)
     except Exception as error:
         writers.write_run_log(spark, layers.run_log, error=str(error), **log)
         raise
     writers.write_run_log(
-        spark, layers.run_log, total_records=metrics["raw_rows"], **log
+        spark, layers.run_log, total_records=metrics.get("raw_rows", 0), **log
     )
     return metrics

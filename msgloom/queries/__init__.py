@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("events",)
+AREAS = ("events", "notifications", "leads", "tables_and_files", "streams")
 
 
 def load_all() -> None:

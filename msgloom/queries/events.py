@@ -404,7 +404,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _events(spark, sf_dir), "row_counts", clicks=F.col("event_type") == "click"
     )
     writers.append_unified(observed, shared_dir(spark, "counted"))
-    found = seen.get
+    found = aggregate.observed(seen)
     return spark.createDataFrame([(found["rows"], found["clicks"])], "rows BIGINT, clicks BIGINT")
 
 

@@ -227,8 +227,8 @@ one AS (
     CASE WHEN o_orderkey % 13 <> 0 THEN 'Hi {{{{name}}}}, order ' || o_orderkey ||
       CASE WHEN o_orderkey % 3 = 0 THEN ' http://x.test/a' ELSE '' END END AS content_text,
     CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END AS creative_title,
-    CASE WHEN o_orderkey % 8 <> 0 THEN epoch_us(o_orderdate) // 1000000 END AS queued_at,
-    CASE WHEN o_orderkey % 16 <> 0 THEN epoch_us(o_orderdate) // 1000000 + 3600 END AS completed_at,
+    CASE WHEN o_orderkey % 8 <> 0 THEN 1704067200 + day(o_orderdate) * 86400 END AS queued_at,
+    CASE WHEN o_orderkey % 16 <> 0 THEN 1704067200 + day(o_orderdate) * 86400 + 3600 END AS completed_at,
     CAST(CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 50 END AS INT) AS successful,
     CAST(o_orderkey % 5 AS INT) AS failed,
     CAST(CASE WHEN o_orderkey % 6 <> 0 THEN o_orderkey % 3 END AS INT) AS errored,

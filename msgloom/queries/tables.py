@@ -110,7 +110,7 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as notification records."""
     orders = table(spark, sf_dir, "orders")
     n = F.col("o_orderkey").cast("int")
-    queued = F.unix_seconds(utc(F.col("o_orderdate")))
+    queued = F.lit(1_704_067_200).cast("long") + F.dayofmonth("o_orderdate") * 86400
     stats = F.struct(
         *[
             (n % (i + 2)).alias(f)
@@ -152,12 +152,11 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.conform_to_schema(twofold, NOTIFICATION)
 
 
-def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer`` as leads: phones in several forms, some fields missing, slots by bit."""
-    customer = table(spark, sf_dir, "customer")
+def lead_phone() -> Column:
+    """A customer's phone, written in one of several ways or missing."""
     n = F.col("c_custkey").cast("int")
     digits = F.lpad(n.cast("string"), 7, "0")
-    phone = (
+    return (
         F.when(n % 6 == 0, F.concat(F.lit("(555) "), digits))
         .when(n % 6 == 1, F.concat(F.lit("1555"), digits))
         .when(n % 6 == 2, F.concat(F.lit("+1-555-"), digits))
@@ -166,6 +165,12 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 60 == 15, F.lit(None))
         .otherwise(F.concat(F.lit("555."), digits))
     )
+
+
+def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as leads: phones in several forms, some fields missing, slots by bit."""
+    customer = table(spark, sf_dir, "customer")
+    n = F.col("c_custkey").cast("int")
     slots = F.struct(
         *[
             F.when(F.shiftright(n, i).bitwiseAND(F.lit(5)) == 5, "true").otherwise("false").alias(s)
@@ -174,7 +179,7 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     given = customer.select(
         F.when(n % 5 != 0, F.col("c_name")).alias("name"),
-        phone.alias("phone"),
+        lead_phone().alias("phone"),
         F.when(n % 40 != 7, text("Agent A", n % 17)).alias("agent_name"),
         F.concat(F.lit("1 555 02"), F.lpad((n % 17).cast("string"), 2, "0")).alias("agent_phone"),
         F.when(n % 30 != 11, text("Road ", n)).alias("address_line_1"),
