@@ -16,6 +16,15 @@ from msgloom.functions.times import When, moment
 Field = tuple[str | Column, str]
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and columns use many times.
+
+    A plain column would be put into each place that uses it and worked out there again.
+    Filters are not moved through a generator, so behind one it is worked out once per row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def flatten_nested(df: DataFrame, fields: Mapping[str, Field]) -> DataFrame:
     """Flat typed columns from nested paths: ``{name: (path or expression, type)}``."""
     return df.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from msgloom.functions.text import clean_line
 from msgloom.operators.classify import sql_tuple_predicate
+from msgloom.operators.shape import compute_once
 
 # One value after its comma: a quoted text with '' or backslash escapes, or a bare word.
 # Possessive loops: a text of any length is matched without backtracking or recursion.
@@ -17,9 +18,9 @@ NARROW_VALUE = r"(\d+(?:\.\d+)?|'[^']*'|NULL)"
 
 
 def tuple_body(line: Column) -> Column:
-    """What stands between the outer brackets."""
+    """What stands between the outer brackets of a tuple line."""
     text = clean_line(line)
-    return F.regexp_replace(F.substr(text, F.lit(2)), r"\)[,;]?$", "")
+    return F.substr(text, F.lit(2), F.length(text) - 3)
 
 
 def strip_tuple(line: Column) -> Column:
@@ -39,9 +40,15 @@ def well_formed(line: Column, literals: Column) -> Column:
 
 def _plain_value(literal: Column) -> Column:
     text = F.trim(literal)
-    inner = F.substr(text, F.lit(2), F.length(text) - 2)
-    unescaped = F.regexp_replace(F.replace(inner, F.lit("''"), F.lit("'")), r"\\(['\"\\])", "$1")
-    return F.when(text == "NULL", F.lit("")).when(text.startswith("'"), unescaped).otherwise(text)
+    inner = F.replace(
+        F.substr(text, F.lit(2), F.length(text) - 2), F.lit("''"), F.lit("'")
+    )
+    unescaped = F.when(
+        inner.contains("\\"), F.regexp_replace(inner, r"\\(['\"\\])", "$1")
+    ).otherwise(inner)
+    return (
+        F.when(text.startswith("'"), unescaped).when(text == "NULL", F.lit("")).otherwise(text)
+    )
 
 
 def tuple_values(line: Column) -> Column:
@@ -78,7 +85,7 @@ def parse_tuples(
     """
     text = F.col(line)
     tuples = lines.filter(sql_tuple_predicate(text) & ~header_predicate(text))
-    read = tuples.withColumn("_literals", _literals(text))
+    read = compute_once(tuples, "_literals", _literals(text))
     fits = well_formed(text, F.col("_literals"))
     counted = F.size("_literals") == len(columns)
     good = read.filter(fits & counted).select(

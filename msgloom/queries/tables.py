@@ -243,7 +243,8 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("o_custkey")).cast("string"),
     )
     end = F.when(n % 100 == 0, ");").otherwise("),")
-    return orders.select(F.concat(F.lit("  ("), row, end).alias("value"))
+    line = F.concat(F.lit("  ("), row, end)
+    return shape.compute_once(orders, "value", line).select("value")
 
 
 DUMP_COLUMNS = ["orderNumber", "orderDate", "status", "comments", "customerNumber"]

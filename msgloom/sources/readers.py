@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from msgloom import config
 from msgloom.functions.times import When, moment
+from msgloom.operators.shape import compute_once
 from msgloom.schemas import ENVELOPE_METADATA, WEBHOOK, envelope
 
 LANDING_DAY = T.StructType.fromDDL("year INT, month STRING, day STRING")
@@ -157,8 +158,8 @@ def parse_payload(
         return good, df.filter(F.lit(False)).withColumn(error, F.lit(None).cast("string"))
     corrupt = "_corrupt_record"
     checked = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
-    parsed = df.withColumn(
-        "_parsed", F.from_json(body, checked, {"columnNameOfCorruptRecord": corrupt})
+    parsed = compute_once(
+        df, "_parsed", F.from_json(body, checked, {"columnNameOfCorruptRecord": corrupt})
     )
     is_bad = F.col("_parsed").isNull() | F.col(f"_parsed.{corrupt}").isNotNull()
     outer = [F.col(f"`{c}`") for c in df.columns if c != body]
