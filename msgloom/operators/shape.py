@@ -73,7 +73,8 @@ def rename_map(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     clash = sorted(kept & set(used.values()))
     if clash:
         raise ValueError(f"rename would repeat columns: {clash}")
-    return df.withColumnsRenamed(used)
+    # One projection renames all at once, so that two names can also be exchanged.
+    return df.select(*[F.col(f"`{c}`").alias(used.get(c, c)) for c in df.columns])
 
 
 def conform_to_schema(

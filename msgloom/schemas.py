@@ -1,42 +1,63 @@
-"""Record schemas, written as DDL so that each reads as the contract it is."""
+"""Record schemas, as plain lists of names and types; no session is needed to load them."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from msgloom.config import SLOTS
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+_KINDS = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "FLOAT": T.FloatType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "STRINGS": T.ArrayType(T.StringType()),
+    "STRING_MAP": T.MapType(T.StringType(), T.StringType()),
+    "COUNT_MAP": T.MapType(T.StringType(), T.LongType()),
+}
+
+
+def _struct(columns: str, **nested: T.DataType) -> T.StructType:
+    """A struct from ``name TYPE`` pairs; nested types come by a name of their own."""
+    kinds = {**_KINDS, **nested}
+    pairs = (column.strip().rsplit(" ", 1) for column in columns.split(","))
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
 
 
 # --- fixed values: the notification record (114 fields) ----------------------------
-_PLATFORM_STATS = """
+_PLATFORM_STATS = _struct("""
     successful INT, failed INT, errored INT, converted INT, received INT, suppressed INT,
     frequency_capped INT, provider_successful INT, provider_failed INT, provider_errored INT
-"""
-NOTIFICATION = _struct(f"""
+""")
+_BUTTON = _struct("id STRING, text STRING, icon STRING, url STRING")
+NOTIFICATION = _struct(
+    """
     id STRING, app_id STRING, name STRING, canceled BOOLEAN,
-    contents MAP<STRING, STRING>, headings MAP<STRING, STRING>, subtitle STRING,
-    data MAP<STRING, STRING>,
+    contents STRING_MAP, headings STRING_MAP, subtitle STRING,
+    data STRING_MAP,
     queued_at BIGINT, send_after BIGINT, completed_at BIGINT,
     delivery_time_of_day STRING, delayed_option STRING,
     successful INT, failed INT, errored INT, converted INT, remaining INT, received INT,
-    platform_delivery_stats MAP<STRING, STRUCT<{_PLATFORM_STATS}>>,
+    platform_delivery_stats PLATFORM_STATS,
     isAdm BOOLEAN, isAndroid BOOLEAN, isChrome BOOLEAN, isChromeWeb BOOLEAN, isAlexa BOOLEAN,
     isFirefox BOOLEAN, isIos BOOLEAN, isSafari BOOLEAN, isWP BOOLEAN, isWP_WNS BOOLEAN,
     isEdge BOOLEAN, isHuawei BOOLEAN, isSMS BOOLEAN, isEmail BOOLEAN,
-    sms_from STRING, sms_media_urls ARRAY<STRING>,
+    sms_from STRING, sms_media_urls STRINGS,
     email_subject STRING, email_from_name STRING, email_from_address STRING,
     email_preheader STRING, email_reply_to_address STRING,
     email_click_tracking_disabled BOOLEAN, include_unsubscribed BOOLEAN,
-    include_player_ids ARRAY<STRING>, include_external_user_ids ARRAY<STRING>,
-    include_aliases STRING, included_segments ARRAY<STRING>, excluded_segments ARRAY<STRING>,
-    filters ARRAY<STRING>,
+    include_player_ids STRINGS, include_external_user_ids STRINGS,
+    include_aliases STRING, included_segments STRINGS, excluded_segments STRINGS,
+    filters STRINGS,
     android_accent_color STRING, android_group STRING, android_group_message STRING,
     android_led_color STRING, android_sound STRING, android_visibility STRING,
     ios_badgeCount INT, ios_badgeType STRING, ios_category STRING,
     ios_interruption_level STRING, ios_relevance_score FLOAT, ios_sound STRING,
-    ios_attachments ARRAY<STRING>, apns_alert MAP<STRING, STRING>,
+    ios_attachments STRINGS, apns_alert STRING_MAP,
     target_content_identifier STRING,
     chrome_big_picture STRING, chrome_icon STRING, chrome_web_icon STRING,
     chrome_web_image STRING, chrome_web_badge STRING, firefox_icon STRING,
@@ -50,13 +71,16 @@ NOTIFICATION = _struct(f"""
     spoken_text STRING, alexa_ssml STRING, alexa_display_title STRING,
     amazon_background_data STRING,
     big_picture STRING, large_icon STRING, small_icon STRING, global_image STRING,
-    buttons ARRAY<STRUCT<id STRING, text STRING, icon STRING, url STRING>>,
-    web_buttons ARRAY<STRING>, content_available BOOLEAN, priority INT, ttl INT,
+    buttons BUTTONS,
+    web_buttons STRINGS, content_available BOOLEAN, priority INT, ttl INT,
     url STRING, web_url STRING, app_url STRING, web_push_topic STRING,
-    wp_sound STRING, wp_wns_sound STRING, tags MAP<STRING, STRING>,
+    wp_sound STRING, wp_wns_sound STRING, tags STRING_MAP,
     template_id STRING, thread_id STRING, throttle_rate_per_minute INT,
-    fcap_group_ids ARRAY<STRING>, fcap_status STRING
-""")
+    fcap_group_ids STRINGS, fcap_status STRING
+    """,
+    PLATFORM_STATS=T.MapType(T.StringType(), _PLATFORM_STATS),
+    BUTTONS=T.ArrayType(_BUTTON),
+)
 
 ENVELOPE_METADATA = _struct(
     "batch_number INT, record_count INT, ingestion_timestamp STRING, source STRING"
@@ -74,26 +98,34 @@ def envelope(record: T.StructType) -> T.StructType:
 
 
 # --- fixed values: the message event document --------------------------------------
-MESSAGE_EVENT = _struct("""
-    type STRING, id STRING,
-    attributes STRUCT<
-        timestamp INT, datetime STRING, uuid STRING, profile_id STRING,
-        event_properties STRUCT<
-            `To Number` STRING, `From Number` STRING, `Message Body` STRING,
-            `Message Format` STRING, `Message Name` STRING, `Message Type` STRING,
-            `Campaign Name` STRING, `Intent 1` STRING, `Intent 1 Confidence` STRING,
-            is_spam BOOLEAN, `Bot Click` BOOLEAN, spam_type STRING, channel_type STRING,
-            `$event_id` STRING, `Image URL` STRING, `$campaign` STRING, `$message` STRING,
-            Credits INT, `$usage_amount` INT, `Failure Type` STRING,
-            `$extra` STRUCT<
-                `From City` STRING, `From State` STRING, `From Country` STRING,
-                `IP Address` STRING, `Message Body` STRING>>>,
-    relationships STRUCT<
-        metric STRUCT<data STRUCT<id STRING>>,
-        profile STRUCT<data STRUCT<id STRING>>>
+_ID_DATA = _struct("data ID", ID=_struct("id STRING"))
+_EXTRA = _struct("""
+    From City STRING, From State STRING, From Country STRING, IP Address STRING,
+    Message Body STRING
 """)
+_EVENT_PROPERTIES = _struct(
+    """
+    To Number STRING, From Number STRING, Message Body STRING, Message Format STRING,
+    Message Name STRING, Message Type STRING, Campaign Name STRING, Intent 1 STRING,
+    Intent 1 Confidence STRING, is_spam BOOLEAN, Bot Click BOOLEAN, spam_type STRING,
+    channel_type STRING, $event_id STRING, Image URL STRING, $campaign STRING,
+    $message STRING, Credits INT, $usage_amount INT, Failure Type STRING, $extra EXTRA
+    """,
+    EXTRA=_EXTRA,
+)
+MESSAGE_EVENT = _struct(
+    "type STRING, id STRING, attributes ATTRIBUTES, relationships RELATIONSHIPS",
+    ATTRIBUTES=_struct(
+        "timestamp INT, datetime STRING, uuid STRING, profile_id STRING, "
+        "event_properties PROPERTIES",
+        PROPERTIES=_EVENT_PROPERTIES,
+    ),
+    RELATIONSHIPS=_struct("metric LINK, profile LINK", LINK=_ID_DATA),
+)
+
+METRIC = _struct("type STRING, id STRING, attributes NAMED", NAMED=_struct("name STRING"))
 
-METRIC = _struct("type STRING, id STRING, attributes STRUCT<name STRING>")
+LANDING_DAY = _struct("year INT, month STRING, day STRING")
 
 # --- fixed values: the unified event contract (47 fields) --------------------------
 UNIFIED = _struct("""
@@ -125,16 +157,15 @@ OPTIMIZED_CAMPAIGN = (
 )
 
 # --- fixed values: leads and replies -----------------------------------------------
-LEAD = _struct("""
+LEAD = _struct(
+    """
     name STRING, phone STRING, agent_name STRING, agent_phone STRING,
     address_line_1 STRING, zip_code STRING, beds STRING, baths STRING,
     is_flexible STRING, message STRING, use_first_selection_logic BOOLEAN,
-    availability STRUCT<
-        weekdays_morning STRING, weekdays_midday STRING, weekdays_afternoon STRING,
-        weekdays_evening STRING, saturday_morning STRING, saturday_midday STRING,
-        saturday_afternoon STRING, saturday_evening STRING, sunday_morning STRING,
-        sunday_midday STRING, sunday_afternoon STRING, sunday_evening STRING>
-""")
+    availability AVAILABILITY
+    """,
+    AVAILABILITY=T.StructType([T.StructField(slot, T.StringType()) for slot in SLOTS]),
+)
 
 SENT_MESSAGE = _struct("""
     message_sid STRING, conversation_sid STRING, text_send STRING, customer_name STRING,
@@ -143,17 +174,17 @@ SENT_MESSAGE = _struct("""
     sender_state STRING, sender_city STRING, sender_country STRING, recipient_number STRING
 """)
 
-WEBHOOK = _struct("""
-    headers MAP<STRING, STRING>,
-    body STRUCT<
-        ToState STRING, FromZip STRING, FromState STRING, FromCity STRING,
-        FromCountry STRING, Body STRING, SmsMessageSid STRING, `To` STRING, `From` STRING,
-        NumMedia STRING, ConversationSid STRING, MessageSid STRING, Author STRING,
-        DateCreated STRING>
-""")
+WEBHOOK = _struct(
+    "headers STRING_MAP, body BODY",
+    BODY=_struct("""
+    ToState STRING, FromZip STRING, FromState STRING, FromCity STRING, FromCountry STRING,
+    Body STRING, SmsMessageSid STRING, To STRING, From STRING, NumMedia STRING,
+    ConversationSid STRING, MessageSid STRING, Author STRING, DateCreated STRING
+    """),
+)
 
 RUN_LOG = _struct("""
     run_id STRING, job STRING, run_timestamp TIMESTAMP, status STRING,
     total_records BIGINT, start_cursor STRING, end_cursor STRING,
-    metrics MAP<STRING, BIGINT>, error STRING
+    metrics COUNT_MAP, error STRING
 """)

@@ -11,9 +11,7 @@ from pyspark.sql import types as T
 from msgloom import config
 from msgloom.functions.times import When, moment
 from msgloom.operators.shape import compute_once
-from msgloom.schemas import ENVELOPE_METADATA, WEBHOOK, envelope
-
-LANDING_DAY = T.StructType.fromDDL("year INT, month STRING, day STRING")
+from msgloom.schemas import ENVELOPE_METADATA, LANDING_DAY, WEBHOOK, envelope
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
