@@ -206,14 +206,17 @@ def run(
 
         # After a shuffle every task holds rows of every day: gather them by day before
         # writing, or each day would get a file from each task.
-        raw = _written(spark, layers.raw, start, end, raw.columns)
-        optimized, seen = aggregate.row_counts(
-            writers.compact(to_optimized(raw, as_of, settings), *DAY), f"{run_id}-optimized"
+        raw = readers.read_layer(spark, layers.raw, raw.schema)
+        raw = readers.read_day_range(raw, start, end)
+        optimized = to_optimized(raw, as_of, settings)
+        counted, seen = aggregate.row_counts(
+            writers.compact(optimized, *DAY), f"{run_id}-optimized"
         )
-        writers.overwrite_partitions(optimized, layers.optimized, DAY)
+        writers.overwrite_partitions(counted, layers.optimized, DAY)
         metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
 
-        done = _written(spark, layers.optimized, start, end, optimized.columns)
+        done = readers.read_layer(spark, layers.optimized, optimized.schema)
+        done = readers.read_day_range(done, start, end)
         unified = to_unified(done, batches, as_of, settings, keep_day=True)
         keys = ["connector_id", "landing_day"]
         unified, seen = aggregate.row_counts(
@@ -226,12 +229,3 @@ def run(
         raise
     writers.write_run_log(spark, layers.run_log, total_records=metrics["landing_rows"], **log)
     return metrics
-
-
-def _written(
-    spark: SparkSession, path: str, start: dt.date, end: dt.date, columns: list[str]
-) -> DataFrame:
-    """The days of a layer as they were written: same columns, order and day texts."""
-    layer = readers.read_day_range(readers.read_layer(spark, path), start, end)
-    two = {c: F.lpad(F.col(c).cast("string"), 2, "0") for c in ("month", "day")}
-    return layer.withColumns({"year": F.col("year").cast("int"), **two}).select(*columns)

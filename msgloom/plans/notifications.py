@@ -199,19 +199,18 @@ def run(spark: SparkSession, layers: Layers, lineage: Lineage, as_of: dt.datetim
             raw = dedup.anti_new_rows(raw, known, "record_id")
         kinds = ("EMAIL", "SMS", "PUSH_NOTIFICATION")
         channels = {kind.lower(): F.col("eventtype") == kind for kind in kinds}
-        raw, seen = aggregate.row_counts(raw, f"{run_id}-raw", **channels)
-        writers.append_layer(raw, layers.raw)
+        counted, seen = aggregate.row_counts(raw, f"{run_id}-raw", **channels)
+        writers.append_layer(counted, layers.raw)
         metrics.update({f"raw_{k}": v for k, v in aggregate.observed(seen).items()})
 
-        day = readers.read_layer_or_previous(spark, layers.raw, as_of)
+        day = readers.read_layer_or_previous(spark, layers.raw, as_of, raw.schema)
         earlier = existing_layer(spark, layers.optimized)
         optimized = to_optimized(day, as_of, _next_batch(earlier))
-        optimized, seen = aggregate.row_counts(optimized, f"{run_id}-optimized")
-        writers.overwrite_partitions(optimized, layers.optimized, ["processing_date"])
+        counted, seen = aggregate.row_counts(optimized, f"{run_id}-optimized")
+        writers.overwrite_partitions(counted, layers.optimized, ["processing_date"])
         metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
 
-        done = readers.read_layer_or_previous(spark, layers.optimized, as_of)
-        done = done.withColumn("processing_date", F.col("processing_date").cast("string"))
+        done = readers.read_layer_or_previous(spark, layers.optimized, as_of, optimized.schema)
         highest = readers.read_catalog_max(spark, layers.table, "batch_id")
         unified = to_unified(done, as_of, (highest or 0) + 1)
         if spark.catalog.tableExists(layers.table):

@@ -46,5 +46,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="msgloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/msgloom/{name}-{uuid.uuid4().hex[:12]}"

@@ -81,13 +81,25 @@ def read_envelopes(spark: SparkSession, path: str, record: T.StructType) -> Data
     return read_json_documents(spark, path, envelope(record))
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet layer; its partition folders come back as columns."""
-    return spark.read.parquet(path)
+def read_layer(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A Parquet layer; its partition folders come back as columns.
+
+    With a schema no file is opened to find one, folder names get the type they had when
+    written, columns come in its order, and a layer without rows can be read too.
+    """
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def read_layer_or_previous(
-    spark: SparkSession, path: str, day: When, column: str = "processing_date"
+    spark: SparkSession,
+    path: str,
+    day: When,
+    schema: T.StructType | None = None,
+    column: str = "processing_date",
 ) -> DataFrame:
     """The rows of a run day, or of the day before if that one has none.
 
@@ -95,7 +107,7 @@ def read_layer_or_previous(
     """
     run = F.to_date(moment(day))
     days = [F.date_format(d, "yyyyMMdd") for d in (run, F.date_sub(run, 1))]
-    layer = read_layer(spark, path)
+    layer = read_layer(spark, path, schema)
     value = F.col(column).cast("string")
     newest = layer.filter(value.isin(*days)).agg(F.max(value)).first()[0]
     if newest is None:
