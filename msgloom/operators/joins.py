@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def decode_with_dimension(
@@ -21,6 +22,31 @@ def decode_with_dimension(
     return facts.join(right, facts[key] == right["_dim_key"], "left").drop("_dim_key")
 
 
+def time_buckets(df: DataFrame, at: str, pieces: int) -> Column:
+    """A rising function of a time column that cuts the rows into about equal pieces.
+
+    The cuts are approximate quantiles of the whole column: ``pieces`` values come to the
+    driver. Where they fall affects the spread over tasks only, never the result.
+    """
+    shares = [i / pieces for i in range(1, pieces)]
+    kind = df.schema[at].dataType
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        number = F.col(at).cast("timestamp").cast("double")
+    elif isinstance(kind, (T.TimestampType, T.NumericType)):
+        number = F.col(at).cast("double")
+    else:
+        raise TypeError(f"{at}: a time or number is needed, not {kind.simpleString()}")
+    cuts = df.agg(F.percentile_approx(number, shares, 10_000)).first()[0] or []
+    bounds = sorted(set(cuts))
+    if not bounds:
+        return F.lit(0)
+    # The number of cuts below the value.
+    return sum(
+        (F.when(number > bound, 1).otherwise(0) for bound in bounds[1:]),
+        F.when(number > bounds[0], 1).otherwise(0),
+    )
+
+
 def reply_to_sent(
     sent: DataFrame,
     replies: DataFrame,
@@ -28,15 +54,15 @@ def reply_to_sent(
     sent_time: str,
     reply_time: str,
     sent_columns: Mapping[str, str],
-    bucket: Column | None = None,
+    pieces: int = 64,
 ) -> DataFrame:
     """Each reply with the latest message sent before or when it came, null if none.
 
     Both sides go through one window per conversation instead of a join that would pair
-    every message with every reply. ``bucket`` is a coarse, rising function of the column
-    ``_at`` (say its day): the window then runs per conversation and bucket, so that one
-    conversation with a third of all rows is spread over many tasks, and a small table with
-    one row per conversation and bucket carries the last message over from earlier ones.
+    every message with every reply. The window runs per conversation and time bucket, so
+    that one conversation with a third of all rows is spread over many tasks; a small table
+    with one row per conversation and bucket carries the last message over from earlier
+    buckets, of which a conversation has ``pieces`` at most.
     """
     payload = F.struct(*[F.col(c).alias(n) for c, n in sent_columns.items()])
     names = list(sent_columns.values())
@@ -49,9 +75,10 @@ def reply_to_sent(
         F.col(key).alias("_key"), F.col(reply_time).alias("_at"), packed.alias("_reply")
     )
     both = left.unionByName(right, allowMissingColumns=True)
-    both = both.filter(F.col("_key").isNotNull() | F.col("_reply").isNotNull()).withColumns(
+    both = both.filter(F.col("_key").isNotNull() | F.col("_reply").isNotNull())
+    both = both.withColumns(
         {
-            "_bucket": bucket if bucket is not None else F.lit(0),
+            "_bucket": time_buckets(both, "_at", pieces) if pieces > 1 else F.lit(0),
             # Replies without a conversation match nothing: spread them out.
             "_spread": F.when(F.col("_key").isNull(), F.xxhash64("_reply")),
         }
@@ -66,21 +93,18 @@ def reply_to_sent(
     )
     local = F.last("_sent", ignorenulls=True).over(here)
     matched = both.withColumn("_local", local).filter(F.col("_reply").isNotNull())
-    if bucket is not None:
-        last_sent = F.max(F.when(F.col("_sent").isNotNull(), F.struct("_at", "_sent")))
-        spans = both.groupBy("_key", "_bucket").agg(last_sent["_sent"].alias("_carried"))
-        before = (
-            Window.partitionBy("_key")
-            .orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carried = spans.select(
-            "_key", "_bucket", F.last("_carried", ignorenulls=True).over(before).alias("_before")
-        )
-        matched = matched.join(carried, ["_key", "_bucket"], "left").withColumn(
-            "_local", F.coalesce("_local", "_before")
-        )
-    return matched.select(
+
+    last_sent = F.max(F.when(F.col("_sent").isNotNull(), F.struct("_at", "_sent")))
+    spans = both.groupBy("_key", "_bucket").agg(last_sent["_sent"].alias("_carried"))
+    before = (
+        Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    carried = spans.select(
+        "_key", "_bucket", F.last("_carried", ignorenulls=True).over(before).alias("_before")
+    )
+    found = matched.join(carried, ["_key", "_bucket"], "left")
+    sent_row = F.coalesce("_local", "_before")
+    return found.select(
         *[F.col("_reply")[c].alias(c) for c in reply_columns],
-        *[F.col("_local")[n].alias(n) for n in names],
+        *[sent_row[n].alias(n) for n in names],
     )

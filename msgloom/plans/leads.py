@@ -92,10 +92,11 @@ def _complete(columns: tuple[str, ...]) -> Column:
     return F.size(classify.missing_fields(columns)) == 0
 
 
-def render(leads: DataFrame) -> tuple[DataFrame, DataFrame]:
+def render(leads: DataFrame, turnaround: str = "24 hours") -> tuple[DataFrame, DataFrame]:
     """Valid leads with their texts, and the others with the reason.
 
     Everything is checked before a message exists: the appointment text needs an address.
+    The media form of the introduction says ``just 24 hours`` for its turnaround.
     The agent and office texts are null where a field of theirs is missing, and
     ``agent_missing`` and ``internal_missing`` name it.
     """
@@ -124,7 +125,7 @@ def render(leads: DataFrame) -> tuple[DataFrame, DataFrame]:
             ),
             "chat_identity": identity(c("agent_phone")),
             "appointment_time": slot,
-            "three_way_text": three_way_text(leads, use_first),
+            "three_way_text": three_way_text(leads, use_first, turnaround),
             "agent_text": F.when(_complete(AGENT_REQUIRED), agent),
             "agent_missing": classify.missing_fields(AGENT_REQUIRED),
             "internal_text": F.when(_complete(INTERNAL_REQUIRED), office),

@@ -284,19 +284,19 @@ GROUP BY ALL
 
 @query(_REPLY_SQL)
 def reply_to_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn with the assistant's last turn before it."""
+    """Each user turn with the assistant's last turn before it, a conversation per task."""
     return joins.reply_to_sent(
         _talk(spark, sf_dir, "assistant"), _talk(spark, sf_dir, "user"), "conv_id", "turn", "turn",
-        {"text": "sent_text", "turn": "sent_turn"},
+        {"text": "sent_text", "turn": "sent_turn"}, pieces=1,
     )
 
 
 @query(_REPLY_SQL)
 def reply_to_sent_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, with long conversations cut into pieces of two turns."""
+    """The same, with conversations cut into pieces of about as many rows."""
     return joins.reply_to_sent(
         _talk(spark, sf_dir, "assistant"), _talk(spark, sf_dir, "user"), "conv_id", "turn", "turn",
-        {"text": "sent_text", "turn": "sent_turn"}, bucket=F.floor(F.col("_at") / 2),
+        {"text": "sent_text", "turn": "sent_turn"},
     )
 
 

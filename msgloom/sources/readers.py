@@ -14,14 +14,17 @@ from msgloom.operators.shape import compute_once
 from msgloom.schemas import ENVELOPE_METADATA, LANDING_DAY, WEBHOOK, envelope
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One (pretty-printed) JSON document per file, in any folder below the path."""
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .json(path)
-    )
+def read_json_documents(
+    spark: SparkSession, path: str, schema: T.StructType, modified_after: str | None = None
+) -> DataFrame:
+    """One (pretty-printed) JSON document per file, in any folder below the path.
+
+    ``modified_after`` leaves out files last written before that time.
+    """
+    reader = spark.read.schema(schema).options(multiLine=True, recursiveFileLookup=True)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.json(path)
 
 
 def read_ndjson(
@@ -43,7 +46,9 @@ def unwrap_envelope(documents: DataFrame) -> DataFrame:
     return documents.select(*outer, F.inline("data"))
 
 
-def read_notifications(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+def read_notifications(
+    spark: SparkSession, path: str, record: T.StructType, modified_after: str | None = None
+) -> DataFrame:
     """Records from envelopes and from flat one-record files, mixed in any way.
 
     ``data`` is an array of records in one and a plain map field in the other, so it is
@@ -53,7 +58,7 @@ def read_notifications(spark: SparkSession, path: str, record: T.StructType) ->
         [T.StructField("metadata", ENVELOPE_METADATA)]
         + [T.StructField(f.name, T.StringType()) if f.name == "data" else f for f in record.fields]
     )
-    documents = read_json_documents(spark, path, loose)
+    documents = read_json_documents(spark, path, loose, modified_after)
     data_type = record["data"].dataType
     flat = F.struct(
         *[

@@ -231,8 +231,8 @@ def test_max_cursor_keeps_the_old_one(spark):
 
 
 # --- joins -------------------------------------------------------------------------
-@pytest.mark.parametrize("width", [None, 1, 3, 10])
-def test_reply_to_sent_against_brute_force(spark, width):
+@pytest.mark.parametrize("pieces", [1, 2, 7, 64])
+def test_reply_to_sent_against_brute_force(spark, pieces):
     """One conversation holds a third of the rows; some replies have no conversation."""
     pick = random.Random(7)
     def key():
@@ -243,16 +243,33 @@ def test_reply_to_sent_against_brute_force(spark, width):
     for k, t, r in replies:
         before = [(st, s) for sk, st, s in sent if sk is not None and sk == k and st <= t]
         expected.append((r, max(before)[1] if before else None))
-    bucket = None if width is None else F.floor(F.col("_at") / width)
     got = joins.reply_to_sent(
         spark.createDataFrame(sent, "k STRING, t INT, s STRING"),
         spark.createDataFrame(replies, "k STRING, t INT, r STRING"),
-        "k", "t", "t", {"s": "sent"}, bucket,
+        "k", "t", "t", {"s": "sent"}, pieces,
     )
     assert got.columns == ["k", "t", "r", "sent"]
     assert values(got, "r", "sent") == sorted(expected, key=str)
 
 
+def test_reply_to_sent_by_time_and_without_rows(spark):
+    sent = spark.createDataFrame([("a", dt.datetime(2025, 1, 1), "s")], "k STRING, t TIMESTAMP, s STRING")
+    replies = spark.createDataFrame(
+        [("a", dt.datetime(2025, 1, 2), "r"), ("a", dt.datetime(2024, 1, 1), "q")],
+        "k STRING, t TIMESTAMP, r STRING",
+    )
+    got = joins.reply_to_sent(sent, replies, "k", "t", "t", {"s": "sent"})
+    assert values(got, "r", "sent") == [("q", None), ("r", "s")]
+    zoneless = F.col("t").cast("timestamp_ntz")
+    sent_ntz, replies_ntz = sent.withColumn("t", zoneless), replies.withColumn("t", zoneless)
+    got = joins.reply_to_sent(sent_ntz, replies_ntz, "k", "t", "t", {"s": "sent"})
+    assert values(got, "r", "sent") == [("q", None), ("r", "s")]
+    with pytest.raises(TypeError, match="string"):
+        joins.reply_to_sent(sent, replies, "k", "s", "r", {"s": "sent"})
+    none = joins.reply_to_sent(sent.limit(0), replies.limit(0), "k", "t", "t", {"s": "sent"})
+    assert none.count() == 0
+
+
 def test_decode_keeps_every_fact(spark):
     facts = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k INT, v STRING")
     dim = spark.createDataFrame([(1, "one")], "id INT, name STRING")
