@@ -22,7 +22,7 @@ from msgloom.queries.sql import (
     tables_with_k,
     unified_sql,
 )
-from msgloom.queries.tables import AS_OF, k_of, message_events, table, text, utc
+from msgloom.queries.tables import AS_OF, message_events, table, text, utc, with_k
 from msgloom.schemas import UNIFIED
 from msgloom.session import shared_dir
 from msgloom.sinks import writers
@@ -44,7 +44,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).withColumn("k", k_of(F.col("props")))
+    return with_k(_events(spark, sf_dir))
 
 
 def _batches(documents: DataFrame) -> DataFrame:

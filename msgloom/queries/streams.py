@@ -9,7 +9,7 @@ from msgloom.operators import rows
 from msgloom.plans import replies
 from msgloom.queries.registry import query
 from msgloom.queries.sql import tables_with_k
-from msgloom.queries.tables import AS_OF, k_of, table, utc, webhooks
+from msgloom.queries.tables import AS_OF, table, utc, webhooks, with_k
 from msgloom.schemas import WEBHOOK
 from msgloom.session import shared_dir
 from msgloom.streaming import streams
@@ -57,7 +57,7 @@ QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts, event_id) = 1
 def stream_first_touch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First clicks kept up to date while the files come in no order of time."""
     base = shared_dir(spark, "stream-touch")
-    events = _events(spark, sf_dir).withColumn("k", k_of(F.col("props")))
+    events = with_k(_events(spark, sf_dir))
     clicks = events.filter("event_type = 'click'").select("event_id", "ts", "user_id", "k")
     keys = ["user_id", "k"]
     records = _event_files(spark, base, clicks)

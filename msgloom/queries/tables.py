@@ -33,6 +33,11 @@ def k_of(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
+def with_k(events: DataFrame) -> DataFrame:
+    """Events with that number as ``k``, read from the text once."""
+    return shape.compute_once(events, "k", k_of(F.col("props")))
+
+
 def twice(df: DataFrame, when: Column) -> DataFrame:
     """Rows that meet the test come two times."""
     copies = F.when(when, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -45,7 +50,7 @@ def text(prefix: str, value: Column) -> Column:
 
 def message_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as message-event documents with their landing day."""
-    events = table(spark, sf_dir, "events").withColumn("k", k_of(F.col("props")))
+    events = with_k(table(spark, sf_dir, "events"))
     k, user = F.col("k"), F.col("user_id")
     kind = F.col("event_type")
     code = (

@@ -15,7 +15,7 @@ from msgloom.operators import aggregate, classify, dedup, joins, rows, shape, sq
 from msgloom.plans import dumps, landing, pages
 from msgloom.plans.notifications import existing_layer
 from msgloom.queries.registry import query
-from msgloom.queries.tables import DUMP_COLUMNS, dump_lines, k_of, table, text, utc
+from msgloom.queries.tables import DUMP_COLUMNS, dump_lines, table, text, utc, with_k
 from msgloom.schemas import METRIC
 from msgloom.session import shared_dir
 from msgloom.sinks import writers
@@ -586,7 +586,7 @@ SELECT CAST(count(*) AS BIGINT) AS events, CAST(sum(json_extract_string(props, '
 """)
 def renamed_and_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Renames that are there, casts of dirty text and constants."""
-    events = table(spark, sf_dir, "events").withColumn("k", k_of(F.col("props")))
+    events = with_k(table(spark, sf_dir, "events"))
     dirty = events.select(text("x", F.col("k")).alias("bad"), F.col("k").cast("string").alias("n"))
     named = shape.rename_map(dirty, {"n": "number", "absent": "other"})
     cast = shape.cast_columns(
