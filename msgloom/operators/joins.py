@@ -76,26 +76,24 @@ def reply_to_sent(
     )
     both = left.unionByName(right, allowMissingColumns=True)
     both = both.filter(F.col("_key").isNotNull() | F.col("_reply").isNotNull())
-    both = both.withColumns(
-        {
-            "_bucket": time_buckets(both, "_at", pieces) if pieces > 1 else F.lit(0),
-            # Replies without a conversation match nothing: spread them out.
-            "_spread": F.when(F.col("_key").isNull(), F.xxhash64("_reply")),
-        }
-    )
+    bucket = (time_buckets(both, "_at", pieces) if pieces > 1 else F.lit(0)).cast("long")
+    # Replies without a conversation match nothing: they are spread out by their content.
+    spread = F.when(F.col("_key").isNull(), F.xxhash64("_reply")).otherwise(bucket)
+    placed = both.withColumn("_bucket", spread)
 
     # At one moment a message comes before a reply; two messages at once go by content.
     place = [F.col("_at"), F.col("_sent").isNull(), F.col("_sent")]
     here = (
-        Window.partitionBy("_key", "_bucket", "_spread")
+        Window.partitionBy("_key", "_bucket")
         .orderBy(*place)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = F.last("_sent", ignorenulls=True).over(here)
-    matched = both.withColumn("_local", local).filter(F.col("_reply").isNotNull())
+    matched = placed.withColumn("_local", local).filter(F.col("_reply").isNotNull())
 
     last_sent = F.max(F.when(F.col("_sent").isNotNull(), F.struct("_at", "_sent")))
-    spans = both.groupBy("_key", "_bucket").agg(last_sent["_sent"].alias("_carried"))
+    known = both.filter(F.col("_key").isNotNull())
+    spans = known.withColumn("_bucket", bucket).groupBy("_key", "_bucket").agg(last_sent["_sent"].alias("_carried"))
     before = (
         Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
