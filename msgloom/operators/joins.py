@@ -1,4 +1,4 @@
-"""Joins. No broadcast hints: Spark broadcasts a side once its measured size is small."""
+"""Joins, without hints: Spark broadcasts a side once its measured size is small."""
 
 from __future__ import annotations
 

@@ -156,9 +156,10 @@ def to_unified(
     )
     packed = shape.pack_unmapped(ready, [*UNIFIED.fieldNames(), "landing_day"])
     typed = shape.cast_columns(packed, {"connector_id": "int", "timestamp": "timestamp"})
-    numbered = typed.join(
-        batches.select(landing_day.alias("landing_day"), "batch_id"), "landing_day", "left"
-    )
+    # One row per calendar day, a megabyte for a century. Without the hint Spark would size
+    # it by the input it was counted from and shuffle all events by their few days.
+    days = batches.select(landing_day.alias("landing_day"), "batch_id")
+    numbered = typed.join(F.broadcast(days), "landing_day", "left")
     return shape.conform_to_schema(numbered, UNIFIED, ["landing_day"] if keep_day else [])
 
 

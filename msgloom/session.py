@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings for a cluster session. Adaptive execution sizes shuffles, splits skewed
-# joins and picks broadcast joins from measured sizes, so no operator hints a broadcast.
+# Settings for a cluster session. Adaptive execution sizes shuffles, splits skewed joins
+# and picks broadcast joins from measured sizes.
 CLUSTER_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
