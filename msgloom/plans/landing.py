@@ -27,7 +27,8 @@ def envelopes(
 
     Records are put in order by ranges, and each range is cut into pieces by the position
     within it: no task numbers all rows, and no group is larger than one document. The
-    batch number therefore counts the documents of one range.
+    batch number therefore counts the documents of one range. The order must tell records
+    apart (equal ones aside), so that a task run again cuts its range in the same places.
     """
     ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
     # The upper bits of this id are the partition, the lower 33 the row within it.

@@ -42,13 +42,21 @@ def incremental_landing(
     return _finish(writer, checkpoint)
 
 
-def stream_dedup(records: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
+def stream_dedup(records: DataFrame, key: str, ts: str, delay: str, salts: int = 1) -> DataFrame:
     """Each id once, as long as its repeats come within the delay of the first.
 
     The state holds the ids of that time only. Rows later than the delay are left out by
     the watermark, so choose it to cover the lateness of the source.
+
+    Where copies of one id can make up much of a micro-batch, ``salts`` above 1 first
+    reduces them per id and salt, spread over that many tasks, at the price of a second
+    state. The salt is the task a row is read in: it only spreads, the second step decides.
     """
-    return records.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    timed = records.withWatermark(ts, delay)
+    if salts > 1:
+        salted = timed.withColumn("_salt", F.spark_partition_id() % salts)
+        timed = salted.dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark([key])
 
 
 def write_stream(records: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

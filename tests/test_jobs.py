@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import uuid
 from types import SimpleNamespace
 
@@ -58,6 +59,15 @@ def test_envelopes_and_flat_files_side_by_side(spark, tmp_path):
     assert values(readers.envelope_mismatches(documents), "records_held") == [(0,)]
 
 
+def test_files_of_runs_long_done_are_not_read(spark, tmp_path):
+    put(tmp_path / "old.json", {"id": "old"})
+    put(tmp_path / "new.json", {"id": "new"})
+    os.utime(tmp_path / "old.json", (1_600_000_000, 1_600_000_000))
+    every = readers.read_notifications(spark, str(tmp_path), NOTIFICATION)
+    late = readers.read_notifications(spark, str(tmp_path), NOTIFICATION, "2021-01-01T00:00:00")
+    assert values(every, "id") == [("new",), ("old",)] and values(late, "id") == [("new",)]
+
+
 def test_payload_of_text_or_struct(spark):
     kind = T.StructType().add("x", "integer")
     df = spark.createDataFrame(
@@ -480,6 +490,24 @@ def test_stream_dedup_over_files_with_repeats(spark, tmp_path):
     assert values(spark.read.parquet(out), "id") == [("a",), ("b",), ("c",)]
 
 
+def test_stream_dedup_of_one_id_in_most_rows(spark, tmp_path):
+    """Copies of one id are spread by salt and still end as one row, over several batches."""
+    copies = F.when(F.col("id") % 3 > 0, F.lit(-1)).otherwise(F.col("id")).alias("id")
+    when = F.timestamp_seconds(F.lit(1_761_955_200) + F.col("id") % 60).alias("t")
+    files = spark.range(0, 3000, 1, 6).select(copies, when)
+    files.write.parquet(str(tmp_path / "in"))
+    records = streams.read_files(
+        spark, "parquet", str(tmp_path / "in"), files.schema, maxFilesPerTrigger=2
+    )
+    for salts in (1, 4):
+        out = str(tmp_path / f"out{salts}")
+        once = streams.stream_dedup(records, "id", "t", "1 hour", salts)
+        streams.write_stream(once, out, str(tmp_path / f"checkpoint{salts}"))
+        got = spark.read.parquet(out)
+        assert got.columns == ["id", "t"]
+        assert values(got, "id") == values(files.select("id").distinct())
+
+
 def test_two_outputs_of_a_repeated_batch_hold_each_row_once(spark, tmp_path):
     put(tmp_path / "in/1.json", {"headers": {}, "body": {"Body": "x", "SmsMessageSid": "S"}})
     targets = {str(tmp_path / "a"): lambda df: df.select("body.Body"),
