@@ -98,7 +98,8 @@ def introduction_text(
         availability,
         F.lit("\n\n"),
         agent,
-        F.lit(f" is excited to get started and can often deliver an offer within {turnaround}.\n\n"),
+        F.lit(" is excited to get started and can often deliver an offer within "),
+        F.lit(f"{turnaround}.\n\n"),
         F.lit('Please reply "Yes" to confirm you\'ve received this message.'),
     )
 

@@ -93,7 +93,11 @@ def reply_to_sent(
 
     last_sent = F.max(F.when(F.col("_sent").isNotNull(), F.struct("_at", "_sent")))
     known = both.filter(F.col("_key").isNotNull())
-    spans = known.withColumn("_bucket", bucket).groupBy("_key", "_bucket").agg(last_sent["_sent"].alias("_carried"))
+    spans = (
+        known.withColumn("_bucket", bucket)
+        .groupBy("_key", "_bucket")
+        .agg(last_sent["_sent"].alias("_carried"))
+    )
     before = (
         Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -21,7 +21,6 @@ from msgloom.functions.text import (
     join_or_default,
     json_of,
     lang_text,
-    row_id,
     strip_template,
 )
 from msgloom.functions.times import When, epoch_to_ts, event_date, moment, run_dates

@@ -358,7 +358,9 @@ SELECT event_id, CAST(NULL AS VARCHAR) AS nothing, '{{"k":' || k || '}}' AS nest
 def void_columns_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untyped nulls, also within a struct, become text; the rest of the struct stays."""
     untyped = _with_k(spark, sf_dir).select(
-        "event_id", F.lit(None).alias("nothing"), F.struct("k", F.lit(None).alias("gone")).alias("s")
+        "event_id",
+        F.lit(None).alias("nothing"),
+        F.struct("k", F.lit(None).alias("gone")).alias("s"),
     )
     fixed = shape.fix_void_columns(untyped)
     return fixed.select("event_id", "nothing", F.to_json("s").alias("nested"))
@@ -390,7 +392,8 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     some = rows.sample_rows(_events(spark, sf_dir), 5).select("event_id")
     known = _events(spark, sf_dir).select("event_id", F.lit(True).alias("known"))
     return some.join(known, "event_id", "left").agg(
-        F.count("*").alias("rows_seen"), F.every(F.coalesce("known", F.lit(False))).alias("all_known")
+        F.count("*").alias("rows_seen"),
+        F.every(F.coalesce("known", F.lit(False))).alias("all_known"),
     )
 
 

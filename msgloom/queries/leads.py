@@ -196,7 +196,8 @@ def struct_fields_win(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey",
         F.col("c_name").alias("name"),
         F.struct(
-            F.col("c_nationkey").cast("string").alias("name"), F.col("c_mktsegment").alias("segment")
+            F.col("c_nationkey").cast("string").alias("name"),
+            F.col("c_mktsegment").alias("segment"),
         ).alias("inner"),
     )
     return shape.flatten_struct_into(nested, "inner")

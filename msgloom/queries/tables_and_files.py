@@ -337,7 +337,10 @@ def sql_tuple_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     torn = F.replace("value", F.lit("-"), F.lit("'-"))
     short = F.regexp_replace("value", r",-?\d+\)", ")")
     lines = dump_lines(spark, sf_dir).select(
-        F.when(key % 7 == 0, torn).when(key % 7 == 1, short).otherwise(F.col("value")).alias("value")
+        F.when(key % 7 == 0, torn)
+        .when(key % 7 == 1, short)
+        .otherwise(F.col("value"))
+        .alias("value")
     )
     _, bad = sqldump.parse_tuples(lines, DUMP_COLUMNS)
     return aggregate.count_by(bad, "reason", "lines")
@@ -455,7 +458,10 @@ def partitions_overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_layer(spark, path)
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer UNION ALL SELECT c_custkey, c_nationkey FROM customer")
+@query("""
+SELECT c_custkey, c_nationkey FROM customer
+UNION ALL SELECT c_custkey, c_nationkey FROM customer
+""")
 def unified_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "appended")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -553,7 +559,7 @@ def metric_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 1 AS run, CAST(count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS BIGINT) AS records FROM events
+SELECT 1 AS run, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS records FROM events
 UNION ALL SELECT 2, count(*) FILTER (ts >= TIMESTAMP '2024-01-16') FROM events
 UNION ALL SELECT 3, 0
 UNION ALL SELECT 0, count(*) FROM events
@@ -581,8 +587,9 @@ def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CAST(count(*) AS BIGINT) AS events, CAST(sum(json_extract_string(props, '$.k')::INT) AS BIGINT)
-  AS k_total FROM events
+SELECT count(*) AS events,
+  CAST(sum(json_extract_string(props, '$.k')::INT) AS BIGINT) AS k_total
+FROM events
 """)
 def renamed_and_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Renames that are there, casts of dirty text and constants."""

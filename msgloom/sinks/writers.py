@@ -13,6 +13,7 @@ from msgloom.functions.times import date_parts
 from msgloom.schemas import RUN_LOG
 
 Sink = Callable[[DataFrame], None]
+Projection = Callable[[DataFrame], DataFrame]
 
 
 def compact(df: DataFrame, *keys: str) -> DataFrame:
@@ -74,7 +75,7 @@ def write_lines(df: DataFrame, path: str, line: str = "value") -> None:
     df.select(line).write.mode("overwrite").text(path)
 
 
-def fan_out(df: DataFrame, outputs: Sequence[tuple[Callable[[DataFrame], DataFrame], Sink]]) -> None:
+def fan_out(df: DataFrame, outputs: Sequence[tuple[Projection, Sink]]) -> None:
     """One input, several projections, each to its own sink; the input is computed once."""
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
