@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from msgloom.queries import load_all
+from msgloom.queries.registry import ORACLES as SQL
+from msgloom.queries.registry import QUERIES
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = oracle_sql()
-QUERIES = queries()
+load_all()
 
 
 @pytest.fixture(scope="module")
