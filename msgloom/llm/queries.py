@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from msgloom.llm import packing, token_counts, token_files
+from msgloom.llm import (
+    decontaminate,
+    html_text,
+    ngram_join,
+    packing,
+    quality,
+    sql,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    url_filter,
+    warc,
+)
 from msgloom.llm.common import table
 from msgloom.queries.registry import Query
 
@@ -12,11 +24,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(text: str | None = None):
+    """Register a query under its function name, with its SQL."""
+
     def register(fn: Query) -> Query:
         QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLES[fn.__name__] = sql
+        if text:
+            ORACLES[fn.__name__] = text
         return fn
 
     return register
@@ -27,11 +41,48 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+@query(sql.NGRAM_JOIN)
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query(sql.WARC)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.round_trip(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return pairs.drop("text_key", "score")
+
+
 @query()
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
 
+@query(sql.QUALITY)
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
