@@ -96,7 +96,6 @@ DEFAULT_SLOT_TITLE = "Weekdays - Afternoon"
 
 # --- fixed values: landing ---------------------------------------------------------
 HISTORICAL_START = "2024-01-01T00:00:00.000Z"
-NOTIFICATION_PAGE = 50
 EVENT_PAGE = 100
 
 

@@ -39,8 +39,13 @@ def strip_template(text: Column) -> Column:
 
 
 def row_id(*keys: Column) -> Column:
-    """Stable id of a row: the same keys give the same id on every run and retry."""
-    parts = [F.coalesce(k.cast("string"), F.lit("")) for k in keys]
+    """Stable id of a row: the same keys give the same id on every run and retry.
+
+    Each key goes in with its length, a null as a sign of its own, so that no two lists of
+    keys read the same.
+    """
+    texts = [k.cast("string") for k in keys]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 

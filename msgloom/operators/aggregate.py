@@ -70,7 +70,7 @@ def observed(observation: Observation) -> dict:
     try:
         return observation.get
     except Py4JJavaError as error:
-        if "AssertionError" not in str(error.java_exception):
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
             raise
         return {}
 

@@ -9,9 +9,33 @@ from pyspark.sql import functions as F
 
 from msgloom.functions.text import plain_text
 
-# Defaults for table markup.
+# Defaults for table markup. Heading cells are no data.
 TABLE_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-TABLE_CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
+TABLE_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
+
+
+def row_of_class(name: str, tag: str = "tr") -> str:
+    """Pattern of the rows that have a class among theirs."""
+    given = rf"""class\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"""
+    return rf"(?is)<{tag}\b[^>]*?\b{given}[^>]*>(.*?)</{tag}>"
+
+
+def outer_tables(html: Column) -> Column:
+    """The page with rows and cells of tables within tables renamed, so that patterns pass them.
+
+    The page is cut at the table tags; the depth is counted from cut to cut.
+    """
+    pieces = F.split(html, r"(?i)(?=<table\b|</table\s*>)")
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
+        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
+        inner = F.regexp_replace(piece, r"(?i)<(/?)t([rdh])\b", "<$1inner-t$2")
+        kept = F.when(depth > 1, inner).otherwise(piece)
+        return F.struct(depth.alias("depth"), F.concat(state["out"], F.array(kept)).alias("out"))
+
+    return F.array_join(F.aggregate(pieces, start, step, lambda s: s["out"]), "")
 
 
 def recombine(*parts: DataFrame) -> DataFrame:
@@ -63,9 +87,12 @@ def extract_html_rows(
 ) -> DataFrame:
     """One row per repeating piece of markup, with its number on the page and its cells.
 
-    Each pattern has one group. Nothing is shuffled: a page's rows stay in its task.
+    Each pattern has one group. Text of a table within a cell stays in that cell. Nothing is
+    shuffled: a page's rows stay in its task.
     """
-    raw = F.regexp_extract_all(F.col(html), F.lit(row_pattern), F.lit(1))
+    nested = F.col(html).rlike(r"(?is)<table\b.*<table\b")
+    whole = F.when(nested, outer_tables(F.col(html))).otherwise(F.col(html))
+    raw = F.regexp_extract_all(whole, F.lit(row_pattern), F.lit(1))
     found = pages.select(*keep, F.posexplode(raw).alias("row_number", "_row"))
     cells = F.regexp_extract_all(F.col("_row"), F.lit(cell_pattern), F.lit(1))
     return found.withColumn("cells", F.transform(cells, plain_text)).drop("_row")

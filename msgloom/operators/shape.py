@@ -184,7 +184,7 @@ def cast_columns(
 def flatten_struct_into(df: DataFrame, name: str) -> DataFrame:
     """Lift a struct's fields to the top; they win over columns of the same name.
 
-    Where the struct is null, a column of the same name keeps its own value.
+    Where a field is null or absent, a column of the same name keeps its own value.
     """
     nested = df.schema[name].dataType.fieldNames()
     outer = [c for c in df.columns if c != name]
@@ -193,7 +193,7 @@ def flatten_struct_into(df: DataFrame, name: str) -> DataFrame:
     def lifted(field: str) -> Column:
         inner = F.col(name)[field]
         if field in both:
-            inner = F.when(F.col(name).isNotNull(), inner).otherwise(F.col(field))
+            inner = F.coalesce(inner, F.col(field))
         return inner.alias(field)
 
     return df.select(

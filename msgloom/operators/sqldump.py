@@ -6,15 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgloom.functions.text import clean_line
-from msgloom.operators.classify import sql_tuple_predicate
 from msgloom.operators.shape import compute_once
 
 # One value after its comma: a quoted text with '' or backslash escapes, or a bare word.
 # Possessive loops: a text of any length is matched without backtracking or recursion.
 TUPLE_VALUE = r",(\s*+'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'\s*+|[^',]*+)(?=,|$)"
 HEADER_LINE = r"^\(\s*`[^`]+`\s*(?:,\s*`[^`]+`\s*)*\)?[,;]?$"
-# The narrow pattern of older runs: it loses signs and booleans.
-NARROW_VALUE = r"(\d+(?:\.\d+)?|'[^']*'|NULL)"
+# A whole tuple of such values, and a line of one or more with an optional end.
+_VALUE = r"(?:\s*+(?:'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'|[^',()]*+)\s*+)"
+TUPLE = rf"\({_VALUE}(?:,{_VALUE})*+\)"
+TUPLE_LINE = rf"(?s)^{TUPLE}(?:\s*+,\s*+{TUPLE})*+\s*+[,;]?$"
+# What may stand before the tuples of a line, and lines that hold no data at all.
+STATEMENT = r"(?is)^insert\s+(?:ignore\s+)?into\s+[^\s(]+\s*(?:\([^()']*\)\s*)?values\s*"
+NO_DATA = (
+    r"(?is)^(?:insert\s+(?:ignore\s+)?into\s+[^\s(']+\s*(?:\([^()']*\))?\s*(?:values)?|values|"
+    r"--.*|/\*.*\*/;?)$"
+)
+# Escapes of one letter; any other escaped character stands for itself.
+ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "0": "\0", "b": "\b", "Z": "\x1a"}
 
 
 def tuple_body(line: Column) -> Column:
@@ -43,12 +52,20 @@ def _plain_value(literal: Column) -> Column:
     inner = F.replace(
         F.substr(text, F.lit(2), F.length(text) - 2), F.lit("''"), F.lit("'")
     )
-    unescaped = F.when(
-        inner.contains("\\"), F.regexp_replace(inner, r"\\(['\"\\])", "$1")
-    ).otherwise(inner)
-    return (
-        F.when(text.startswith("'"), unescaped).when(text == "NULL", F.lit("")).otherwise(text)
-    )
+    unescaped = F.when(inner.contains("\\"), _unescaped(inner)).otherwise(inner)
+    is_null = F.upper(text) == "NULL"
+    return F.when(text.startswith("'"), unescaped).when(is_null, F.lit("")).otherwise(text)
+
+
+def _unescaped(text: Column) -> Column:
+    """Backslash escapes resolved; between doubled backslashes each one starts an escape."""
+
+    def part(piece: Column) -> Column:
+        for letter, char in ESCAPES.items():
+            piece = F.replace(piece, F.lit(f"\\{letter}"), F.lit(char))
+        return F.replace(piece, F.lit("\\"), F.lit(""))
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
 
 
 def tuple_values(line: Column) -> Column:
@@ -56,14 +73,6 @@ def tuple_values(line: Column) -> Column:
     return F.transform(_literals(line), _plain_value)
 
 
-def narrow_tuple_values(line: Column) -> Column:
-    """Values by the narrow pattern, for comparison with files made that way."""
-    found = F.regexp_extract_all(line, F.lit(NARROW_VALUE), F.lit(1))
-    return F.transform(
-        found, lambda v: F.when(v == "NULL", F.lit("")).otherwise(F.btrim(v, F.lit("'")))
-    )
-
-
 def header_predicate(line: Column) -> Column:
     """Whether a line is a tuple of back-ticked names."""
     return clean_line(line).rlike(HEADER_LINE)
@@ -79,20 +88,35 @@ def tuple_header(lines: DataFrame, line: str = "value") -> list[str] | None:
 def parse_tuples(
     lines: DataFrame, columns: list[str], line: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
-    """Data rows with named text columns, and the tuple lines that do not fit, with a reason.
+    """Data rows with named text columns, and what does not fit, with a reason.
 
-    A tuple fits when its values make up the whole line and there is one for every column.
+    A line holds one tuple or several, with or without a statement before them and a comma
+    or semicolon after. Blank lines, headers, statement heads and comments hold no data;
+    every other line goes to the rows or to the rejects. A tuple fits when there is a value
+    for every column; each one that does not fit is a reject of its own.
     """
-    text = F.col(line)
-    tuples = lines.filter(sql_tuple_predicate(text) & ~header_predicate(text))
-    read = compute_once(tuples, "_literals", _literals(text))
-    fits = well_formed(text, F.col("_literals"))
-    counted = F.size("_literals") == len(columns)
-    good = read.filter(fits & counted).select(
+    text = clean_line(F.col(line))
+    no_data = (text == "") | header_predicate(text) | text.rlike(NO_DATA)
+    data = lines.filter(F.coalesce(~no_data, F.lit(False))).select(F.col(line).alias("line"))
+    body = F.regexp_replace(clean_line(F.col("line")), STATEMENT, "")
+    readable = body.rlike(TUPLE_LINE)
+    tuples = F.when(readable, F.regexp_extract_all(body, F.lit(f"({TUPLE})"), F.lit(1))).otherwise(
+        F.array(F.lit(None).cast("string"))
+    )
+    one = data.select("line", F.explode(tuples).alias("_tuple"), (F.size(tuples) == 1).alias("_alone"))
+    inner = F.substr(F.col("_tuple"), F.lit(2), F.length("_tuple") - 2)
+    found = F.regexp_extract_all(F.concat(F.lit(","), inner), F.lit(TUPLE_VALUE), F.lit(1))
+    read = compute_once(one, "_literals", found)
+    fits = F.col("_tuple").isNotNull() & (F.size("_literals") == len(columns))
+    good = read.filter(fits).select(
         *[_plain_value(F.get("_literals", F.lit(i))).alias(c) for i, c in enumerate(columns)]
     )
-    reason = F.when(~fits, F.lit("unreadable value")).otherwise(
-        F.concat(F.size("_literals").cast("string"), F.lit(f" values for {len(columns)} columns"))
+    count = F.size("_literals").cast("string")
+    reason = (
+        F.when(F.col("_tuple").isNotNull(), F.concat(count, F.lit(f" values for {len(columns)} columns")))
+        .when(clean_line(F.col("line")).startswith("("), F.lit("unreadable value"))
+        .otherwise(F.lit("no tuple"))
     )
-    bad = read.filter(~(fits & counted)).select(text.alias("line"), reason.alias("reason"))
+    part = F.when(F.col("_alone"), F.col("line")).otherwise(F.col("_tuple"))
+    bad = read.filter(~fits).select(part.alias("line"), reason.alias("reason"))
     return good, bad

@@ -172,6 +172,17 @@ class Layers:
     run_log: str
 
 
+def _present_days(landed: DataFrame) -> list[tuple]:
+    """The days that have landed lines; from the folders alone where Spark can tell."""
+    return sorted(tuple(row) for row in landed.select(*DAY).distinct().collect())
+
+
+def _of_days(layer: DataFrame, days: list[tuple]) -> DataFrame:
+    """The layer's rows of some days; other folders are not opened."""
+    day = F.concat_ws("-", *[F.col(c).cast("string") for c in DAY])
+    return layer.filter(day.isin(["-".join(map(str, d)) for d in days]))
+
+
 def run(
     spark: SparkSession,
     layers: Layers,
@@ -193,37 +204,35 @@ def run(
     try:
         landed = readers.read_ndjson(spark, layers.landing, MESSAGE_EVENT, by_day=True)
         landed = readers.read_day_range(landed, start, end)
-        # The days come with the raw write: a day all of whose rows are filtered out counts too.
         seen = Observation(f"{run_id}-landing")
-        landed = landed.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*DAY)).alias("days")
-        )
-        raw = to_raw(landed, lineage, as_of, settings)
-        writers.overwrite_partitions(raw, layers.raw, DAY)
+        counted = landed.observe(seen, F.count(F.lit(1)).alias("rows"))
+        raw = to_raw(counted, lineage, as_of, settings)
+        # Only days that have landed are replaced, all their rows gone included; a day whose
+        # landing is no longer there keeps the rows it has.
+        present = _present_days(landed)
+        writers.replace_partitions(raw, layers.raw, DAY, present, f"{run_id}-raw")
         metrics["landing_rows"] = aggregate.observed(seen).get("rows", 0)
-        present = [tuple(day) for day in aggregate.observed(seen).get("days", [])]
         days = spark.createDataFrame(present, "year INT, month STRING, day STRING")
         batches = aggregate.run_batch_counter(days, list(DAY))
 
         # After a shuffle every task holds rows of every day: gather them by day before
         # writing, or each day would get a file from each task.
-        raw = readers.read_layer(spark, layers.raw, raw.schema)
-        raw = readers.read_day_range(raw, start, end)
+        raw = _of_days(readers.read_layer(spark, layers.raw, raw.schema), present)
         optimized = to_optimized(raw, as_of, settings)
         counted, seen = aggregate.row_counts(
             writers.compact(optimized, *DAY), f"{run_id}-optimized"
         )
-        writers.overwrite_partitions(counted, layers.optimized, DAY)
+        writers.replace_partitions(counted, layers.optimized, DAY, present, f"{run_id}-days")
         metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
 
-        done = readers.read_layer(spark, layers.optimized, optimized.schema)
-        done = readers.read_day_range(done, start, end)
+        done = _of_days(readers.read_layer(spark, layers.optimized, optimized.schema), present)
         unified = to_unified(done, batches, as_of, settings, keep_day=True)
         keys = ["connector_id", "landing_day"]
         unified, seen = aggregate.row_counts(
             writers.compact(unified, *keys), f"{run_id}-unified"
         )
-        writers.overwrite_partitions(unified, layers.unified, keys)
+        folders = [(int(lineage.connector_id), "-".join(map(str, day))) for day in present]
+        writers.replace_partitions(unified, layers.unified, keys, folders, f"{run_id}-folders")
         metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)
     except Exception as error:
         writers.write_run_log(spark, layers.run_log, error=str(error), **log)

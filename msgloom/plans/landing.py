@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from msgloom import config
 from msgloom.functions.times import When, date_parts, moment
-from msgloom.operators import aggregate
+from msgloom.operators import aggregate, dedup
 from msgloom.plans.notifications import existing_layer
 from msgloom.sinks import writers
 from msgloom.sources import readers
@@ -69,6 +69,34 @@ def last_cursor(spark: SparkSession, run_log: str, job: str) -> str | None:
     return done.agg(F.max_by("end_cursor", F.struct("run_timestamp", "run_id"))).first()[0]
 
 
+def _not_landed(
+    spark: SparkSession,
+    records: DataFrame,
+    ts: str,
+    cursor: str | None,
+    landing: str,
+    key: str,
+    overlap: dt.timedelta,
+    run_id: str,
+) -> DataFrame:
+    """Rows from the overlap before the position on whose key no earlier run has landed there.
+
+    Of the landed files only the days from the overlap on, and the folder of rows without a
+    day, are opened.
+    """
+    if not cursor:
+        return records
+    since = F.lit(cursor).cast("timestamp") - F.expr(f"INTERVAL {int(overlap.total_seconds())} SECONDS")
+    given = F.col(ts)
+    kept = records.filter(given.isNull() | (given >= since.cast(records.schema[ts].dataType)))
+    fields = [T.StructField(key, records.schema[key].dataType)]
+    fields += [T.StructField(c, T.StringType()) for c in ("run", "year", "month", "day")]
+    landed = readers.read_ndjson(spark, landing, T.StructType(fields))
+    day = F.make_date(*[F.col(c).try_cast("int") for c in ("year", "month", "day")])
+    near = landed.filter((F.col("run") != run_id) & (day.isNull() | (day >= F.to_date(since))))
+    return dedup.anti_new_rows(kept, near, key)
+
+
 def run(
     spark: SparkSession,
     records: DataFrame,
@@ -78,37 +106,44 @@ def run(
     as_of: dt.datetime,
     job: str = "landing",
     max_records: int = config.EVENT_PAGE,
-    start: str = config.HISTORICAL_START,
+    start: str | None = None,
+    key: str | None = None,
+    overlap: dt.timedelta = dt.timedelta(0),
 ) -> dict:
-    """Land what came after the saved position.
+    """Land what came since the saved position; without one, everything or from ``start``.
 
-    The files go to a folder named by the position they start from and replace it: a run
-    that failed before its log row is simply repeated. Without new records the position
-    stays as it was.
+    With a ``key``, rows at the very position, rows up to ``overlap`` before it and rows
+    without a time are looked up by it among those landed already, so that late ones are
+    not lost and none comes twice; without it only later rows land, and the metrics count
+    the rows without a time. The files go to a folder of the run and replace it: a run that
+    failed before its log row is simply repeated. Without new records the position stays.
     """
     run_id = f"{job}-{as_of:%Y%m%dT%H%M%S}"
     cursor = last_cursor(spark, run_log, job) or start
+    metrics: dict[str, int] = {}
     try:
-        new = readers.read_since_cursor(records, ts, cursor)
-        folder = re.sub(r"[^0-9TZ]", "", cursor.replace(" ", "T"))
+        if key:
+            new = _not_landed(spark, records, ts, cursor, landing, key, overlap, run_id)
+        else:
+            new = readers.read_since_cursor(records, ts, cursor) if cursor else records.dropna(subset=[ts])
+            metrics["without_time"] = records.filter(F.col(ts).isNull()).count()
         days = date_parts(F.col(ts))
         seen = Observation(run_id)
         position = F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("position")
-        out = new.withColumns({"since": F.lit(folder), **days}).observe(
+        out = new.withColumns({"run": F.lit(run_id), **days}).observe(
             seen, F.count(F.lit(1)).alias("rows"), position
         )
-        writers.write_ndjson(out, landing, max_records, ["since", *days])
+        writers.write_ndjson(out, landing, max_records, ["run", *days])
         found = aggregate.observed(seen)
-        total = found.get("rows", 0)
+        total = metrics["records"] = found.get("rows", 0)
         end = found.get("position") or cursor
+        end = max(end, cursor) if end and cursor else end  # late rows do not set it back
     except Exception as error:
         writers.write_run_log(
             spark, run_log, run_id, job, as_of, start_cursor=cursor, error=str(error)
         )
         raise
-    writers.write_run_log(
-        spark, run_log, run_id, job, as_of, {"records": total}, total, cursor, end
-    )
+    writers.write_run_log(spark, run_log, run_id, job, as_of, metrics, total, cursor, end)
     return {"records": total, "start_cursor": cursor, "end_cursor": end}
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from msgloom import config
@@ -140,18 +140,22 @@ def sent_log(
 ) -> DataFrame:
     """Two rows per message, one for each recipient, with the key each is filed under.
 
-    Without ids from a message service, stable ones are made from phones and text.
+    Without ids from a message service, stable ones are made from time, phones and text;
+    equal messages of one batch are numbered, so that each has its own.
     """
-    parts = (F.col("consumer_phone"), F.col("agent_phone"), F.col("three_way_text"))
-    sid = message_sid if message_sid is not None else row_id(F.lit("message"), *parts)
+    parts = ("consumer_phone", "agent_phone", "three_way_text")
+    received = F.date_format(moment(sent_at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    copy = F.row_number().over(Window.partitionBy(*parts).orderBy(F.lit(1)))
+    keys = (received, *map(F.col, parts), F.col("_copy"))
+    sid = message_sid if message_sid is not None else row_id(F.lit("message"), *keys)
     unknown = F.lit(None).cast("string")
-    common = rendered.select(
+    common = rendered.withColumn("_copy", copy).select(
         sid.alias("message_sid"),
-        row_id(F.lit("conversation"), *parts).alias("conversation_sid"),
+        row_id(F.lit("conversation"), *keys).alias("conversation_sid"),
         F.col("three_way_text").alias("text_send"),
         F.col("consumer_name").alias("customer_name"),
         F.lit(sender_number).alias("sender_number"),
-        F.date_format(moment(sent_at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("received_at"),
+        received.alias("received_at"),
         F.lit("0").alias("media_count"),
         F.lit("outbound-api").alias("direction"),
         *[

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from msgloom import config
 from msgloom.config import Lineage
@@ -26,25 +27,33 @@ from msgloom.functions.text import (
 from msgloom.functions.times import When, epoch_to_ts, event_date, moment, run_dates
 from msgloom.operators import aggregate, classify, dedup, shape
 from msgloom.schemas import NOTIFICATION, OPTIMIZED_CAMPAIGN, UNIFIED
+from msgloom.session import shared_dir
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
 COUNTERS = ("successful", "failed", "errored", "converted", "received")
-# What makes a landed record another version of the same notification.
-VERSION = ("id", "name", "queued_at", "send_after", "completed_at", *COUNTERS)
+JOB = "notifications"
 
 
 def to_raw(
     landed: DataFrame, lineage: Lineage, as_of: When, batch_id: int, path: str | None = None
 ) -> DataFrame:
-    """Landed records with lineage, typed times, channel and the message text."""
+    """Landed records with lineage, typed times, channel and the message text.
+
+    The id is made of the whole record: a change in any field is another version.
+    """
     now = moment(as_of)
+    whole = [
+        F.to_json(f.name) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+        else F.col(f.name)
+        for f in landed.schema.fields
+    ]
     raw = shape.add_lineage(
         landed,
         lineage,
         as_of,
         "record_id",
-        VERSION,
+        whole,
         batch_id=F.lit(batch_id),
         processing_date=run_dates(as_of)["run_date"],
         data_source_path=F.lit(path).cast("string"),
@@ -61,9 +70,9 @@ def to_raw(
 
 
 def to_optimized(raw: DataFrame, as_of: When, batch_id: int) -> DataFrame:
-    """One row per notification with the campaign figures, 39 columns."""
+    """One row per notification and run day with the campaign figures, 39 columns."""
     newest = [F.desc(c) for c in ("file_processed_at", "completed_at", "queued_at", *COUNTERS)]
-    once = dedup.dedup_by_key(raw, "id", [*newest, "record_id"])
+    once = dedup.dedup_by_key(raw, ["processing_date", "id"], [*newest, "record_id"])
     own = shape.drop_and_restamp(
         once, as_of, "opt_id", ["id", "raw_record_id"], {"record_id": "raw_record_id"}
     )
@@ -181,13 +190,59 @@ def _next_batch(layer: DataFrame | None) -> int:
     return aggregate.next_batch_id(layer).first()[0]
 
 
-def already_in(table: DataFrame, new: DataFrame, partition: str) -> DataFrame:
-    """The table's partitions that the new rows fall into.
+def _taken_up(spark: SparkSession, run_log: str, step: str) -> int:
+    """The highest batch that a step has worked off, by the log of all runs, failed ones too."""
+    runs = existing_layer(spark, run_log)
+    if runs is None:
+        return 0
+    return runs.filter(F.col("job") == JOB).agg(F.max(F.col("metrics")[step])).first()[0] or 0
+
+
+def _days_since(layer: DataFrame, batch: int) -> list[str]:
+    """The run days that hold batches after the given one: what is still to be worked off.
 
-    One value per calendar day comes to the driver, and the other days are not scanned.
+    Batch numbers rise with the files, so their statistics leave out the older ones. One
+    value per calendar day comes to the driver.
     """
-    days = [row[0] for row in new.select(partition).distinct().collect()]
-    return table.filter(F.col(partition).isin(days))
+    found = layer.filter(F.col("batch_id") > batch).select("processing_date").distinct()
+    return sorted(str(row[0]) for row in found.collect())
+
+
+def newest_campaigns(optimized: DataFrame) -> DataFrame:
+    """The current row of each campaign: that of its last run day."""
+    key = F.coalesce("campaign_id", "opt_id")
+    order = [F.desc("processing_date"), F.desc("batch_id"), "opt_id"]
+    return dedup.keep_first(optimized.withColumn("_campaign", key), ["_campaign"], order).drop("_campaign")
+
+
+def merge_current(spark: SparkSession, table: str, new: DataFrame, partitions: list[str]) -> None:
+    """Put the current rows of some campaigns into the table, in place of their older ones.
+
+    Only the partitions that hold old or new rows of these campaigns are written, from a
+    copy in the shared folder, as the table is read for it.
+    """
+    campaign = F.coalesce("campaign_id", "source_id")
+    held = spark.table(table)
+    keys = new.select(campaign.alias("_campaign")).distinct()
+    stale = held.withColumn("_campaign", campaign).join(keys, "_campaign", "left_semi")
+    folders = stale.select(*partitions).unionByName(new.select(*partitions)).distinct()
+    present = [tuple(row) for row in folders.collect()]  # one entry per calendar day
+    # The days prune the folders that are read; a connector's other days stay closed.
+    touched = held.filter(F.col(partitions[-1]).isin([p[-1] for p in present]))
+    kept = touched.withColumn("_campaign", campaign).join(keys, "_campaign", "left_anti")
+    merged = kept.drop("_campaign").unionByName(new.select(*held.columns))
+    copy = shared_dir(spark, "merged")
+    merged.write.parquet(copy)
+    ready = spark.read.schema(merged.schema).parquet(copy).select(*held.columns)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    path = location["data_type"]
+    writers.replace_partitions(
+        writers.compact(ready, *partitions), path, partitions, present, f"merge-{copy[-12:]}"
+    )
+    writers.remove_folder(spark, copy)
+    # The catalog lists the partitions: new ones are entered, removed ones struck out.
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def run(
@@ -199,13 +254,14 @@ def run(
 ) -> dict:
     """One run over all layers; the counts of each are logged, and an error is raised again.
 
-    Landed versions that raw holds already are left out, and rows the table holds already
-    too, so that a run can be repeated after a failure at any point. ``modified_after``
-    spares reading the files of runs long done.
+    Landed versions that raw holds already are left out. Each later step works off the run
+    days with batches that the log does not show as done, whichever run wrote them, so that
+    nothing is lost after a failure at any point. The table holds one current row per
+    campaign. ``modified_after`` spares reading the files of runs long done.
     """
-    run_id = f"notifications-{as_of:%Y%m%dT%H%M%S}"
+    run_id = f"{JOB}-{as_of:%Y%m%dT%H%M%S}"
     metrics: dict[str, int] = {}
-    log = dict(run_id=run_id, job="notifications", as_of=as_of, metrics=metrics)
+    log = dict(run_id=run_id, job=JOB, as_of=as_of, metrics=metrics)
     try:
         known = existing_layer(spark, layers.raw)
         landed = readers.read_notifications(
@@ -220,25 +276,37 @@ def run(
         writers.append_layer(counted, layers.raw)
         metrics.update({f"raw_{k}": v for k, v in aggregate.observed(seen).items()})
 
-        day = readers.read_layer_or_previous(spark, layers.raw, as_of, raw.schema)
-        earlier = existing_layer(spark, layers.optimized)
-        optimized = to_optimized(day, as_of, _next_batch(earlier))
-        counted, seen = aggregate.row_counts(optimized, f"{run_id}-optimized")
-        writers.overwrite_partitions(counted, layers.optimized, ["processing_date"])
-        metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
-
-        done = readers.read_layer_or_previous(spark, layers.optimized, as_of, optimized.schema)
-        highest = readers.read_catalog_max(spark, layers.table, "batch_id")
-        unified = to_unified(done, as_of, (highest or 0) + 1)
-        if spark.catalog.tableExists(layers.table):
-            known = already_in(spark.table(layers.table), unified, "event_date")
-            unified = dedup.anti_new_rows(unified, known, "source_id")
-        partitions = ["connector_id", "event_date"]
-        unified, seen = aggregate.row_counts(
-            writers.compact(unified, *partitions), f"{run_id}-unified"
-        )
-        writers.append_table(unified, layers.table, partitions, layers.table_path)
-        metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)
+        raw = readers.read_layer(spark, layers.raw, raw.schema)
+        highest = _next_batch(raw) - 1
+        days = _days_since(raw, _taken_up(spark, layers.run_log, "optimized_batch"))
+        pending = raw.filter(F.col("processing_date").isin(days))
+        optimized = to_optimized(pending, as_of, _next_batch(existing_layer(spark, layers.optimized)))
+        metrics["optimized_rows"] = 0
+        if days:
+            counted, seen = aggregate.row_counts(optimized, f"{run_id}-optimized")
+            writers.overwrite_partitions(counted, layers.optimized, ["processing_date"])
+            metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
+        metrics["optimized_batch"] = highest
+
+        done = readers.read_layer(spark, layers.optimized, optimized.schema)
+        highest = _next_batch(done) - 1
+        days = _days_since(done, _taken_up(spark, layers.run_log, "unified_batch"))
+        metrics["unified_rows"] = 0
+        if days:
+            current = newest_campaigns(done.filter(F.col("processing_date").isin(days)))
+            number = (readers.read_catalog_max(spark, layers.table, "batch_id") or 0) + 1
+            unified = to_unified(current, as_of, number)
+            partitions = ["connector_id", "event_date"]
+            if spark.catalog.tableExists(layers.table):
+                metrics["unified_rows"] = unified.count()
+                merge_current(spark, layers.table, unified, partitions)
+            else:
+                unified, seen = aggregate.row_counts(
+                    writers.compact(unified, *partitions), f"{run_id}-unified"
+                )
+                writers.append_table(unified, layers.table, partitions, layers.table_path)
+                metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)
+        metrics["unified_batch"] = highest
     except Exception as error:
         writers.write_run_log(spark, layers.run_log, error=str(error), **log)
         raise

@@ -13,11 +13,22 @@ from msgloom.sinks import writers
 ROSTER_CELLS = {"Last Name": 2, "First Name": 3, "Contact Phone": 7, "Email": 8}
 ROSTER_WIDTH = 9
 LISTING_CELLS = {"MLS ID": 3, "Address": 6, "City": 8, "Price": 10}
+# Classes of the rows that are people and listings.
+ROSTER_CLASS = "singleLineDisplay"
+LISTING_CLASS = "DisplayRegRow"
 
 
-def roster_rows(pages: DataFrame, **patterns: str) -> DataFrame:
-    """People from every page's table; shorter rows (headings, fillers) are left out."""
-    found = rows.extract_html_rows(pages, keep=["page_id"], **patterns)
+def _found(pages: DataFrame, row_class: str | None, **patterns: str) -> DataFrame:
+    if row_class:
+        patterns = {"row_pattern": rows.row_of_class(row_class), **patterns}
+    return rows.extract_html_rows(pages, keep=["page_id"], **patterns)
+
+
+def roster_rows(
+    pages: DataFrame, row_class: str | None = ROSTER_CLASS, **patterns: str
+) -> DataFrame:
+    """People from the rows of a class; shorter rows are left out. Without a class, all rows."""
+    found = _found(pages, row_class, **patterns)
     full = classify.row_shape_filter(found, "cells", ROSTER_WIDTH)
     return full.select(
         "page_id",
@@ -26,9 +37,11 @@ def roster_rows(pages: DataFrame, **patterns: str) -> DataFrame:
     )
 
 
-def listing_rows(pages: DataFrame, **patterns: str) -> DataFrame:
-    """Listings from every page's table, ``N/A`` for a cell that is not there."""
-    found = rows.extract_html_rows(pages, keep=["page_id"], **patterns)
+def listing_rows(
+    pages: DataFrame, row_class: str | None = LISTING_CLASS, **patterns: str
+) -> DataFrame:
+    """Listings from the rows of a class, ``N/A`` for a cell that is not there."""
+    found = _found(pages, row_class, **patterns)
     return found.filter(F.size("cells") > LISTING_CELLS["MLS ID"]).select(
         "page_id",
         "row_number",

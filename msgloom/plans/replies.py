@@ -68,11 +68,14 @@ def reply_projection_conversation(requests: DataFrame, as_of: When) -> DataFrame
     return requests.select(*[fields[name].alias(name) for name in CONVERSATION_REPLY])
 
 
-def intake(requests: DataFrame, sms_path: str, conversation_path: str, as_of: When) -> None:
+def intake(
+    requests: DataFrame, sms_path: str, conversation_path: str, as_of: When, run_id: str
+) -> None:
     """Both projections of one batch of requests, written once each.
 
     Text messages are filed by the time they were taken in, conversation replies by the
-    time they were written.
+    time they were written, both below the run's own folder: taking the same batch in
+    again under its id replaces it.
     """
     writers.fan_out(
         requests,
@@ -80,14 +83,18 @@ def intake(requests: DataFrame, sms_path: str, conversation_path: str, as_of: Wh
             (
                 lambda df: reply_projection_sms(df, as_of),
                 lambda df: writers.write_partitioned_by_time(
-                    df.withColumn("_taken", moment(as_of)), "_taken", sms_path
+                    df.withColumn("_taken", moment(as_of)),
+                    "_taken",
+                    f"{sms_path}/run={run_id}",
+                    "overwrite",
                 ),
             ),
             (
                 lambda df: reply_projection_conversation(df, as_of),
-                lambda df: df.write.mode("append")
+                lambda df: writers.compact(df, "year", "month", "day")
+                .write.mode("overwrite")
                 .partitionBy("year", "month", "day")
-                .json(conversation_path),
+                .json(f"{conversation_path}/run={run_id}"),
             ),
         ],
     )

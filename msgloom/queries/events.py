@@ -18,6 +18,7 @@ from msgloom.queries.sql import (
     EVENT_CTES,
     EVENT_UNIFIED,
     case_sql,
+    id_sql,
     listed,
     tables_with_k,
     unified_sql,
@@ -28,7 +29,7 @@ from msgloom.session import shared_dir
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
-LINEAGE = Lineage(source="events", connector_id="46", user_id="85")
+LINEAGE = Lineage(source="events", connector_id="12", user_id="7001")
 
 # Names the given event types stand for.
 TYPE_NAMES = {
@@ -331,9 +332,9 @@ def pack_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.pack_unmapped(packed, ["event_id", "unmapped"], into="none")
 
 
-@query("""
-SELECT event_id, sha256('layer_id|' || event_id || '|' || event_type) AS layer_id,
-  sha256(concat_ws('|', event_id, event_type)) AS parent_id, 'src' AS source,
+@query(f"""
+SELECT event_id, {id_sql("'layer_id'", "event_id", "event_type")} AS layer_id,
+  {id_sql("event_id", "event_type")} AS parent_id, 'src' AS source,
   CAST(NULL AS VARCHAR) AS account_id, TIMESTAMP '2024-02-01' AS r_created_at
 FROM events
 """)
@@ -453,19 +454,51 @@ def message_events_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {EVENT_CTES} {EVENT_UNIFIED}")
 def message_events_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job on files, from landing lines to the unified layer; one part of it runs twice."""
-    documents = message_events(spark, sf_dir)
+    """The job on files, from landing lines to the unified layer, run twice."""
+    layers, days = _landed(spark, sf_dir)
+    for _ in range(2):
+        event_job.run(spark, layers, *days, LINEAGE, dt.datetime(2024, 2, 1))
+    return _unified_layer(spark, layers)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[event_job.Layers, list[dt.date]]:
+    """All documents landed in a fresh folder, with their first and last day."""
     base = shared_dir(spark, "backfill")
     layers = event_job.Layers(*[f"{base}/{n}" for n in ("landing", "raw", "opt", "unified", "log")])
-    writers.write_ndjson(documents, layers.landing, 100_000, ["year", "month", "day"])
-    when = dt.datetime(2024, 2, 1)
-    first, last = dt.date(2024, 1, 1), dt.date(2024, 12, 31)
-    event_job.run(spark, layers, first, last, LINEAGE, when)
-    event_job.run(spark, layers, first, last, LINEAGE, when)
+    writers.write_ndjson(
+        message_events(spark, sf_dir), layers.landing, 100_000, ["year", "month", "day"]
+    )
+    day = F.to_date("ts")
+    first, last = _events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
+    return layers, [first or dt.date(2024, 1, 1), last or dt.date(2024, 1, 1)]
+
+
+def _unified_layer(spark: SparkSession, layers: event_job.Layers) -> DataFrame:
     unified = readers.read_layer(spark, layers.unified).drop("landing_day")
     return shape.conform_to_schema(unified, UNIFIED)
 
 
+@query(f"""
+WITH {EVENT_CTES}, loaded AS ({EVENT_UNIFIED})
+SELECT l.* FROM loaded l JOIN landed d ON 'e' || d.event_id = l.source_id
+WHERE CAST(d.ts AS DATE) <> (SELECT min(CAST(ts AS DATE)) FROM events)
+QUALIFY row_number() OVER (PARTITION BY d.event_id) = 1
+""")
+def backfill_of_a_day_loaded_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first day is landed again with unknown events only: its rows go from every layer."""
+    layers, days = _landed(spark, sf_dir)
+    event_job.run(spark, layers, *days, LINEAGE, dt.datetime(2024, 2, 1))
+    day = F.make_date("year", F.col("month").cast("int"), F.col("day").cast("int"))
+    first = message_events(spark, sf_dir).filter(day == F.lit(days[0]))
+    unknown = F.struct(F.struct(F.lit("none").alias("id")).alias("data")).alias("metric")
+    links = F.struct(unknown, F.col("relationships.profile").alias("profile"))
+    writers.write_ndjson(
+        first.withColumn("relationships", links), layers.landing, 100_000, ["year", "month", "day"]
+    )
+    event_job.run(spark, layers, *days, LINEAGE, dt.datetime(2024, 2, 1))
+    return _unified_layer(spark, layers)
+
+
 @query(f"""
 WITH {EVENT_CTES.replace("PARTITION BY year, month, day, profile_id", "PARTITION BY profile_id")}
 SELECT status_calc, count(*) AS events FROM optimized GROUP BY 1

@@ -14,7 +14,14 @@ from msgloom.operators import classify, dedup, joins, rows, shape
 from msgloom.plans import leads as job
 from msgloom.plans import replies
 from msgloom.queries.registry import query
-from msgloom.queries.sql import AVAILABILITY, LEAD_CTES, LEAD_VALID, SLOT_PICK, THREE_WAY
+from msgloom.queries.sql import (
+    AVAILABILITY,
+    LEAD_CTES,
+    LEAD_VALID,
+    SLOT_PICK,
+    THREE_WAY,
+    id_sql,
+)
 from msgloom.queries.tables import AS_OF, lead_phone, leads, table, text, webhooks
 from msgloom.schemas import SENT_MESSAGE, WEBHOOK
 from msgloom.session import shared_dir
@@ -69,7 +76,7 @@ FROM given
 def phone_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = table(spark, sf_dir, "customer").select("c_custkey", lead_phone().alias("phone"))
     return kept.select(
-        F.col("c_custkey").cast("int"), "phone", X.us_phone(F.col("phone")).alias("normal")
+        "c_custkey", "phone", X.us_phone(F.col("phone")).alias("normal")
     )
 
 
@@ -135,13 +142,15 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invalid.select("consumer_phone", "agent_name", "reason")
 
 
+_MESSAGE_KEYS = ("'2024-02-01T00:00:00.000000'", "consumer_phone", "agent_phone", "msg", "copy")
 _SENT_SQL = f"""
 WITH {LEAD_CTES},
 valid AS (SELECT *, {THREE_WAY} AS msg FROM lead WHERE {LEAD_VALID}),
 ids AS (
-  SELECT *, sha256('message|' || consumer_phone || '|' || agent_phone || '|' || msg) AS sid,
-    sha256('conversation|' || consumer_phone || '|' || agent_phone || '|' || msg) AS conv
-  FROM valid),
+  SELECT *, {id_sql("'message'", *_MESSAGE_KEYS)} AS sid,
+    {id_sql("'conversation'", *_MESSAGE_KEYS)} AS conv
+  FROM (SELECT *, row_number() OVER (PARTITION BY consumer_phone, agent_phone, msg) AS copy
+        FROM valid)),
 both_rows AS (SELECT *, consumer_phone AS recipient FROM ids
          UNION ALL SELECT *, agent_phone FROM ids)
 """
@@ -205,7 +214,7 @@ def struct_fields_win(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- replies -----------------------------------------------------------------------
 _TURNS = "(SELECT * FROM conversations WHERE role = 'user')"
-_CREATED = "make_timestamp(1704067200000000 + (conv_id * 86400 + turn * 60) * 1000000)"
+_CREATED = "make_timestamp(1704067200000000 + (conv_id % 366 * 86400 + turn * 60) * 1000000)"
 
 
 @query(f"""
@@ -237,23 +246,34 @@ def reply_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replies.reply_projection_conversation(webhooks(spark, sf_dir), AS_OF)
 
 
-@query("""
-SELECT 'sms' AS output, count(*) AS replies FROM conversations WHERE role = 'user'
-UNION ALL SELECT 'conversation', count(*) FROM conversations WHERE role = 'user'
+@query(f"""
+SELECT 'sms' AS output, 'IM' || conv_id || '-' || turn AS message_sid, text,
+  '+1555' || conv_id AS sender_number, '2024' AS year, '02' AS month, '01' AS day
+FROM {_TURNS}
+UNION ALL
+SELECT 'conversation', 'IM' || conv_id || '-' || turn, text, '+1555' || conv_id,
+  strftime({_CREATED}, '%Y'), strftime({_CREATED}, '%m'), strftime({_CREATED}, '%d')
+FROM {_TURNS}
 """)
 def reply_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored requests read back and filed as two outputs."""
+    """Stored requests filed as two outputs; taking them in again leaves each row once."""
     base = shared_dir(spark, "replies")
     webhooks(spark, sf_dir).write.json(f"{base}/requests")
     requests = readers.read_webhook_payloads(spark, f"{base}/requests")
-    replies.intake(requests, f"{base}/sms", f"{base}/conversation", AS_OF)
-    counts = [
-        spark.read.schema("message_sid STRING, year STRING, month STRING, day STRING")
+    for _ in range(2):
+        replies.intake(requests, f"{base}/sms", f"{base}/conversation", AS_OF, "first")
+    names = {"sms": "reply_text", "conversation": "text_send"}
+    found = [
+        spark.read.schema(
+            f"message_sid STRING, {text_column} STRING, sender_number STRING, run STRING, "
+            "year STRING, month STRING, day STRING"
+        )
         .json(f"{base}/{output}")
-        .agg(F.lit(output).alias("output"), F.count("message_sid").alias("replies"))
-        for output in ("sms", "conversation")
-    ]
-    return rows.recombine(*counts)
+        .select(F.lit(output).alias("output"), "message_sid", F.col(text_column).alias("text"),
+                "sender_number", "year", "month", "day")
+        for output, text_column in names.items()
+    ]
+    return rows.recombine(*found)
 
 
 def _talk(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
@@ -285,10 +305,10 @@ GROUP BY ALL
 
 @query(_REPLY_SQL)
 def reply_to_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn with the assistant's last turn before it, a conversation per task."""
+    """Each user turn with the assistant's last turn before it, in few pieces."""
     return joins.reply_to_sent(
         _talk(spark, sf_dir, "assistant"), _talk(spark, sf_dir, "user"), "conv_id", "turn", "turn",
-        {"text": "sent_text", "turn": "sent_turn"}, pieces=1,
+        {"text": "sent_text", "turn": "sent_turn"}, pieces=4,
     )
 
 

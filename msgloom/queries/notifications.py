@@ -18,7 +18,7 @@ from msgloom.schemas import NOTIFICATION, OPTIMIZED_CAMPAIGN, UNIFIED
 from msgloom.session import shared_dir
 from msgloom.sources import readers
 
-LINEAGE = Lineage(source="notices", connector_id="45", user_id="85")
+LINEAGE = Lineage(source="notices", connector_id="11", user_id="7001")
 _RAW = ["id", "record_id", "eventtype", "content_text", "event_date", "processing_date",
         "batch_id", "source", "connector_id", "user_id", "queued_at_timestamp",
         "completed_at_timestamp", "send_after_timestamp"]
@@ -32,7 +32,7 @@ def _optimized(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {NOTIFICATION_CTES}
 SELECT id, record_id, eventtype, content_text, event_date, '20240201' AS processing_date,
-  3 AS batch_id, 'notices' AS source, '45' AS connector_id, '85' AS user_id,
+  3 AS batch_id, 'notices' AS source, '11' AS connector_id, '7001' AS user_id,
   queued_ts AS queued_at_timestamp, completed_ts AS completed_at_timestamp,
   CAST(NULL AS TIMESTAMP) AS send_after_timestamp
 FROM stamped

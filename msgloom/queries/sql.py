@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from msgloom import config
+from msgloom.schemas import NOTIFICATION
 
 
 def json_sql(fields: Iterable[tuple[str, str, bool]]) -> str:
@@ -16,6 +17,12 @@ def json_sql(fields: Iterable[tuple[str, str, bool]]) -> str:
     return "('{' || concat_ws(',', " + ", ".join(parts) + ") || '}')"
 
 
+def id_sql(*keys: str) -> str:
+    """The id of a row from the texts of its keys."""
+    parts = (f"coalesce(length(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR), '-')" for k in keys)
+    return f"sha256(concat_ws('|', {', '.join(parts)}))"
+
+
 def escaped(expression: str) -> str:
     """A text as it stands inside a JSON text."""
     return rf"""replace(replace({expression}, '\', '\\'), '"', '\"')"""
@@ -105,7 +112,7 @@ raw AS (
   FROM landed WHERE metric_id IN {listed(config.EVENT_NAMES)}),
 raw_layer AS (
   SELECT *, CAST(credits_used * CAST(0.09 AS DOUBLE) AS FLOAT) AS cost_usd,
-    sha256(source_event_id || '|' || year || '|' || month || '|' || day) AS raw_id
+    {id_sql("source_event_id", "year", "month", "day")} AS raw_id
   FROM raw),
 once AS (SELECT DISTINCT * FROM raw_layer),
 named AS (SELECT *, {case_sql("metric_id", config.EVENT_NAMES, "Unknown")} AS event_name FROM once),
@@ -123,7 +130,7 @@ optimized AS (
     CASE WHEN metric_id IN {listed(config.EXTRA_BODY_CODES)} THEN extra_message_body
          WHEN metric_id IN {listed(config.NO_BODY_CODES)} THEN NULL
          ELSE coalesce(content_body, message_name) END AS content_calc,
-    sha256('optimized|' || raw_id) AS optimized_id
+    {id_sql("'optimized'", "raw_id")} AS optimized_id
   FROM touched)
 """
 # Columns outside the contract, in the order the layer has them.
@@ -171,17 +178,17 @@ def unified_sql(given: dict[str, str], source: str) -> str:
 
 EVENT_UNIFIED = unified_sql(
     {
-        "id": "sha256('unified|' || optimized_id)",
+        "id": id_sql("'unified'", "optimized_id"),
         "batch_id": "(SELECT count(DISTINCT CAST(e.ts AS DATE)) FROM events e"
         " WHERE CAST(e.ts AS DATE) <= make_date(optimized.year, CAST(optimized.month AS INT),"
         " CAST(optimized.day AS INT)))",
         "r_created_at": "TIMESTAMP '2024-02-01 00:00:00'",
         "r_updated_at": "TIMESTAMP '2024-02-01 00:00:00'",
-        "connector_id": "'46'",
+        "connector_id": "'12'",
         "source_id": "source_event_id",
         "timestamp": "replace(event_timestamp, '+00:00', '')",
         "source": "'events'",
-        "user_id": "'85'",
+        "user_id": "'7001'",
         "event_type": "channel_calc",
         "campaign_id": "campaign_id",
         "ip_address": "ip_address",
@@ -219,9 +226,36 @@ _STATS = json_sql(
         )
     ]
 )
+# Every field of a record, in the record's order; complex ones as JSON. Others are null.
+_RECORD = {
+    "id": "id",
+    "app_id": "'app'",
+    "name": "name",
+    "canceled": "canceled",
+    "contents": """CASE WHEN content_text IS NOT NULL THEN '{"en":"' || content_text || '"}' END""",
+    "headings": """CASE WHEN creative_title IS NOT NULL THEN '{"en":"' || creative_title || '"}' END""",
+    "queued_at": "queued_at",
+    "completed_at": "completed_at",
+    "successful": "successful",
+    "failed": "failed",
+    "errored": "errored",
+    "converted": "converted",
+    "platform_delivery_stats": f"""CASE WHEN n % 11 <> 0 THEN '{{"ios":' || {_STATS} || '}}' END""",
+    "isSMS": "is_sms",
+    "isEmail": "is_email",
+    "sms_from": "'+15550100'",
+    "email_subject": "email_subject",
+    "included_segments": """CASE WHEN n % 12 = 0 THEN '[]'
+      WHEN n % 12 <> 1 THEN '["' || order_status || '","All"]' END""",
+    "priority": "priority",
+    "url": "CASE WHEN n % 15 = 1 THEN primary_link END",
+    "web_url": "CASE WHEN n % 15 = 2 THEN primary_link END",
+    "app_url": "CASE WHEN n % 15 = 3 THEN primary_link END",
+}
+_RECORD_ID = id_sql(*(_RECORD.get(name, "NULL") for name in NOTIFICATION.fieldNames()))
 NOTIFICATION_CTES = f"""
 one AS (
-  SELECT 'n' || o_orderkey AS id, CAST(o_orderkey AS INT) AS n,
+  SELECT 'n' || o_orderkey AS id, o_orderkey AS n, o_orderstatus AS order_status,
     CASE WHEN o_orderkey % 9 <> 0 THEN 'Campaign ' || o_orderpriority END AS name,
     CASE WHEN o_orderkey % 5 <> 1 THEN o_orderstatus = 'P' END AS canceled,
     CASE WHEN o_orderkey % 13 <> 0 THEN 'Hi {{{{name}}}}, order ' || o_orderkey ||
@@ -253,16 +287,14 @@ stamped AS (
              DATE '2024-02-01') AS event_date,
     to_timestamp(queued_at) AT TIME ZONE 'UTC' AS queued_ts,
     to_timestamp(completed_at) AT TIME ZONE 'UTC' AS completed_ts,
-    sha256(concat_ws('|', id, coalesce(name, ''), coalesce(CAST(queued_at AS VARCHAR), ''), '',
-      coalesce(CAST(completed_at AS VARCHAR), ''), coalesce(CAST(successful AS VARCHAR), ''),
-      failed, coalesce(CAST(errored AS VARCHAR), ''), converted, '')) AS record_id
+    {_RECORD_ID} AS record_id
   FROM landed),
 counted AS (
   SELECT *, coalesce(successful, 0) + failed + coalesce(errored, 0) AS sends,
     coalesce(successful, 0) AS delivered, coalesce(errored, 0) AS rejected
   FROM (SELECT DISTINCT * FROM stamped)),
 campaigns AS (
-  SELECT sha256('opt_id|' || id || '|' || record_id) AS opt_id, id AS campaign_id,
+  SELECT {id_sql("'opt_id'", "id", "record_id")} AS opt_id, id AS campaign_id,
     coalesce(name, 'Unknown Campaign') AS campaign_name, record_id AS raw_record_id,
     1 AS batch_id, sends, delivered, failed AS failed_count, rejected,
     failed + rejected AS total_failed, converted AS clicks,
@@ -297,8 +329,8 @@ campaigns AS (
     '20240201' AS processing_date,
     TIMESTAMP '2024-02-01 00:00:00' AS r_created_at,
     TIMESTAMP '2024-02-01 00:00:00' AS r_updated_at,
-    CAST(NULL AS VARCHAR) AS profile_workspace_id, '85' AS user_id,
-    CAST(NULL AS VARCHAR) AS account_id, 'notices' AS source, '45' AS connector_id
+    CAST(NULL AS VARCHAR) AS profile_workspace_id, '7001' AS user_id,
+    CAST(NULL AS VARCHAR) AS account_id, 'notices' AS source, '11' AS connector_id
   FROM counted)
 """
 NOTIFICATION_UNMAPPED = json_sql(
@@ -332,7 +364,7 @@ NOTIFICATION_UNMAPPED = json_sql(
 )
 NOTIFICATION_UNIFIED = unified_sql(
     {
-        "id": "sha256('id|' || opt_id)",
+        "id": id_sql("'id'", "opt_id"),
         "batch_id": "1",
         "r_created_at": "r_created_at",
         "r_updated_at": "r_updated_at",
@@ -359,7 +391,7 @@ given AS (
          WHEN n % 6 = 2 THEN '+1-555-' || {_DIGITS} WHEN n % 60 = 3 THEN ''
          WHEN n % 60 = 9 THEN 'none' WHEN n % 60 = 15 THEN NULL
          ELSE '555.' || {_DIGITS} END AS phone
-  FROM (SELECT *, CAST(c_custkey AS INT) AS n FROM customer)),
+  FROM (SELECT *, c_custkey AS n FROM customer)),
 lead AS (
   SELECT CASE WHEN n % 40 <> 7 THEN 'Agent A' || (n % 17) END AS agent_name,
     '+155502' || lpad(CAST(n % 17 AS VARCHAR), 2, '0') AS agent_phone,

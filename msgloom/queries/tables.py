@@ -114,7 +114,7 @@ def message_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as notification records."""
     orders = table(spark, sf_dir, "orders")
-    n = F.col("o_orderkey").cast("int")
+    n = F.col("o_orderkey")
     queued = F.lit(1_704_067_200).cast("long") + F.dayofmonth("o_orderdate") * 86400
     stats = F.struct(
         *[
@@ -159,7 +159,7 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lead_phone() -> Column:
     """A customer's phone, written in one of several ways or missing."""
-    n = F.col("c_custkey").cast("int")
+    n = F.col("c_custkey")
     digits = F.lpad(n.cast("string"), 7, "0")
     return (
         F.when(n % 6 == 0, F.concat(F.lit("(555) "), digits))
@@ -175,7 +175,7 @@ def lead_phone() -> Column:
 def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as leads: phones in several forms, some fields missing, slots by bit."""
     customer = table(spark, sf_dir, "customer")
-    n = F.col("c_custkey").cast("int")
+    n = F.col("c_custkey")
     slots = F.struct(
         *[
             F.when(F.shiftright(n, i).bitwiseAND(F.lit(5)) == 5, "true").otherwise("false").alias(s)
@@ -200,11 +200,11 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns of ``conversations`` as stored webhook requests."""
+    """User turns of ``conversations`` as stored webhook requests, over the days of a year."""
     talks = table(spark, sf_dir, "conversations").filter("role = 'user'")
     conv, turn = F.col("conv_id"), F.col("turn")
     sid = F.concat(text("IM", conv), F.lit("-"), turn.cast("string"))
-    created = F.timestamp_seconds(F.lit(1_704_067_200) + conv * 86400 + turn * 60)
+    created = F.timestamp_seconds(F.lit(1_704_067_200) + conv % 366 * 86400 + turn * 60)
     body = {
         "ToState": F.lit("WA"),
         "FromZip": text("98", conv % 100),
@@ -252,4 +252,4 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.compute_once(orders, "value", line).select("value")
 
 
-DUMP_COLUMNS = ["orderNumber", "orderDate", "status", "comments", "customerNumber"]
+DUMP_COLUMNS = ["ticket", "opened", "state", "note", "account"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -241,24 +241,35 @@ def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_HEADING = "".join(f"<th>H{i}</th>" for i in range(12))
+_OTHER_ROW = "".join(f"<td>other {i}</td>" for i in range(12))
+
+
 def _table_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer`` as result pages of 50 rows; a row has 3 to 12 cells, some with markup."""
+    """``customer`` as result pages of 50 rows; a row has 3 to 12 cells, some with markup.
+
+    Pages have a heading row, rows of another class and a table within a cell.
+    """
     customer = table(spark, sf_dir, "customer")
-    n = F.col("c_custkey").cast("int")
+    n = F.col("c_custkey")
     cells = F.transform(
-        F.sequence(F.lit(0), n % 10 + 2),
+        F.sequence(F.lit(0).cast("bigint"), n % 10 + 2),
         lambda i: F.concat(
             F.lit('<td class="c"> <b>'), n.cast("string"), F.lit("</b>&amp;"), i.cast("string"),
+            F.when(i == 2, F.lit("<table><tr class='DisplayRegRow'><td></td></tr></table>"))
+            .otherwise(""),
             F.lit(" </td>"),
         ),
     )
-    row = F.concat(F.lit("<tr>\n"), F.array_join(cells, ""), F.lit("</tr>"))
-    numbered = customer.select((n / 50).cast("int").cast("bigint").alias("page_id"),
+    row = F.concat(
+        F.lit('<tr class="x DisplayRegRow singleLineDisplay">\n'), F.array_join(cells, ""), F.lit("</tr>")
+    )
+    numbered = customer.select(F.expr("c_custkey div 50").alias("page_id"),
                                n.alias("n"), row.alias("row"))
     held = F.array_sort(F.collect_list(F.struct("n", "row")))
     return numbered.groupBy("page_id").agg(
         F.concat(
-            F.lit("<table>"),
+            F.lit(f"<table><tr class='DisplayRegRow'>{_HEADING}</tr><tr>{_OTHER_ROW}</tr>"),
             F.array_join(F.transform(held, lambda r: r["row"]), ""),
             F.lit("</table>"),
         ).alias("html")
@@ -279,7 +290,7 @@ _CELL = "CASE WHEN c_custkey % 10 + 3 > {0} THEN c_custkey || '&{0}' ELSE 'N/A'
 
 
 @query(f"""
-SELECT CAST(c_custkey // 50 AS BIGINT) AS page_id, CAST(c_custkey % 50 AS INT) AS row_number,
+SELECT CAST(c_custkey // 50 AS BIGINT) AS page_id, CAST(c_custkey % 50 + 1 AS INT) AS row_number,
   c_custkey || '&3' AS "MLS ID", {_CELL.format(6)} AS "Address", {_CELL.format(8)} AS "City",
   {_CELL.format(10)} AS "Price"
 FROM customer WHERE c_custkey % 10 + 3 > 3
@@ -289,14 +300,15 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey || '&2' AS "Last Name", c_custkey || '&8' AS "Email"
+SELECT c_custkey || '&2' AS "Last Name", c_custkey || '&3' AS "First Name",
+  c_custkey || '&7' AS "Contact Phone", c_custkey || '&8' AS "Email"
 FROM customer WHERE c_custkey % 10 + 3 >= 9
 """)
 def roster_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Roster rows written as CSV with a header and read back."""
     path = shared_dir(spark, "roster")
     pages.write_rows(pages.roster_rows(_table_pages(spark, sf_dir)), path)
-    return spark.read.option("header", True).csv(path).select("Last Name", "Email")
+    return spark.read.option("header", True).csv(path)
 
 
 # --- SQL dump text -----------------------------------------------------------------
@@ -315,9 +327,8 @@ _NOTE_SQL = (
 
 
 @query(f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS "orderNumber",
-  strftime(o_orderdate, '%Y-%m-%d') AS "orderDate", o_orderstatus AS status,
-  {_NOTE_SQL} AS comments, CAST(-o_custkey AS VARCHAR) AS "customerNumber"
+SELECT CAST(o_orderkey AS VARCHAR) AS ticket, strftime(o_orderdate, '%Y-%m-%d') AS opened,
+  o_orderstatus AS state, {_NOTE_SQL} AS note, CAST(-o_custkey AS VARCHAR) AS account
 FROM orders
 """)
 def sql_tuple_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,21 +358,28 @@ def sql_tuple_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS "orderNumber", {_NOTE_SQL} AS comments,
-  CAST(-o_custkey AS VARCHAR) AS "customerNumber"
+SELECT o_orderkey || ',' || strftime(o_orderdate, '%Y-%m-%d') || ',' || o_orderstatus || ','
+  || CASE WHEN o_orderkey % 5 = 1 THEN '"Check, then ship"'
+          WHEN o_orderkey % 5 = 3 THEN '"It''s ""new""' || '"' ELSE {_NOTE_SQL} END
+  || ',' || (-o_custkey) AS line, 'csv' AS output
 FROM orders
+UNION ALL SELECT 'not a tuple,no tuple', 'bad'
 """)
 def dump_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dump file to CSV with the header the file itself names."""
+    """Dump file to CSV with the header the file itself names; the text of the files."""
     base = shared_dir(spark, "dump")
     head = spark.range(1).select(
         F.lit("(" + ",".join(f"`{c}`" for c in DUMP_COLUMNS) + "),").alias("value")
     )
-    writers.write_lines(rows.recombine(head, dump_lines(spark, sf_dir)), f"{base}/in")
+    torn = spark.range(1).select(F.lit("not a tuple").alias("value"))
+    writers.write_lines(rows.recombine(head, dump_lines(spark, sf_dir), torn), f"{base}/in")
     dumps.clean_dump(spark, f"{base}/in", f"{base}/csv", f"{base}/bad", f"{base}/log", WHEN)
-    read = spark.read.option("header", True).option("escape", '"').csv(f"{base}/csv")
-    empty = F.coalesce("comments", F.lit("")).alias("comments")
-    return read.select("orderNumber", empty, "customerNumber")
+    headers = [",".join(DUMP_COLUMNS), "line,reason"]
+    found = [
+        spark.read.text(f"{base}/{name}").select(F.col("value").alias("line"), F.lit(name).alias("output"))
+        for name in ("csv", "bad")
+    ]
+    return rows.recombine(*found).filter(~F.col("line").isin(headers))
 
 
 _MIXED = """
@@ -403,21 +421,6 @@ def lines_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.lines_summary(dumps.mixed_lines(_mixed(spark, sf_dir)), F.col("cleaned"))
 
 
-@query("""
-SELECT o_orderkey || '' AS first_value, strftime(o_orderdate, '%Y-%m-%d') AS second_value,
-  CAST(o_custkey AS VARCHAR) AS last_value
-FROM orders
-""")
-def narrow_tuple_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The narrow pattern: it loses the sign of the last value."""
-    values = sqldump.narrow_tuple_values(F.col("value"))
-    return dump_lines(spark, sf_dir).select(values.alias("v")).select(
-        F.get("v", F.lit(0)).alias("first_value"),
-        F.get("v", F.lit(1)).alias("second_value"),
-        F.element_at("v", -1).alias("last_value"),
-    )
-
-
 # --- files, layers and tables ------------------------------------------------------
 @query("""
 SELECT event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS total
@@ -540,11 +543,11 @@ def filed_by_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name || '-2' AS name FROM supplier")
 def metric_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two daily snapshots of a full list; the newer one counts."""
+    """Snapshots of a full list on two days, two of them on the newer day; the last one counts."""
     path = shared_dir(spark, "metrics")
     supplier = table(spark, sf_dir, "supplier")
-    for day in ("1", "2"):
-        named = F.concat(F.col("s_name"), F.lit(f"-{day}")).alias("name")
+    for day, mark in (("1", "1"), ("2", "x"), ("2", "2")):
+        named = F.concat(F.col("s_name"), F.lit(f"-{mark}")).alias("name")
         snapshot = supplier.select(
             F.lit("metric").alias("type"),
             F.col("s_suppkey").cast("string").alias("id"),
@@ -553,37 +556,44 @@ def metric_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("01").alias("month"),
             F.lit(f"0{day}").alias("day"),
         )
-        writers.write_ndjson(snapshot, path, 100_000, ["year", "month", "day"])
+        snapshot.write.mode("append").partitionBy("year", "month", "day").json(path)
     latest = readers.latest_snapshot(spark, path, METRIC)
     return latest.select("id", F.col("attributes.name").alias("name"))
 
 
 @query("""
-SELECT 1 AS run, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS records FROM events
-UNION ALL SELECT 2, count(*) FILTER (ts >= TIMESTAMP '2024-01-16') FROM events
-UNION ALL SELECT 3, 0
-UNION ALL SELECT 0, count(*) FROM events
+WITH cut AS (SELECT max(ts) AS ts FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+late AS (SELECT event_id, ts >= TIMESTAMP '2024-01-16' OR event_id % 3 = 0 AND ts = (SELECT ts FROM cut)
+  AS later FROM events)
+SELECT event_id, 1 + CAST(coalesce(later, FALSE) AS INT) AS run FROM late
+UNION ALL SELECT NULL, 3
 """)
 def landing_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs, each from the position the last one saved; the third finds nothing new.
 
-    Run 0 stands for the lines that were landed in all.
+    Some rows of the very position where the first run ended come with the second one. Each
+    event is shown with the run that landed it, the empty third run as a row of its own.
     """
     base = shared_dir(spark, "landing-job")
     events = table(spark, sf_dir, "events").withColumn("ts", utc(F.col("ts")))
-    first = events.filter("ts < TIMESTAMP '2024-01-16'")
+    before = events.filter("ts < TIMESTAMP '2024-01-16'")
+    end = before.agg(F.max("ts")).first()[0]
+    first = before.filter((F.col("event_id") % 3 != 0) | (F.col("ts") != F.lit(end)))
     for i, records in enumerate((first, events, events)):
         landing.run(
             spark, records, "ts", f"{base}/data", f"{base}/log", WHEN + dt.timedelta(hours=i),
-            max_records=10_000,
+            max_records=10_000, key="event_id",
         )
+    kind = T.StructType.fromDDL("event_id BIGINT, run STRING")
+    landed = readers.read_ndjson(spark, f"{base}/data", kind)
+    number = F.dense_rank().over(Window.orderBy("run"))  # over the runs, not their rows
+    numbered = landed.select("run").distinct().withColumn("number", number)
     log = existing_layer(spark, f"{base}/log")
-    runs = log.select(
-        (F.hour("run_timestamp") + 1).alias("run"), F.col("total_records").alias("records")
+    empty = log.filter("total_records = 0").select(
+        F.lit(None).cast("bigint").alias("event_id"), (F.hour("run_timestamp") + 1).alias("run")
     )
-    landed = readers.read_ndjson(spark, f"{base}/data", T.StructType.fromDDL("event_id BIGINT"))
-    total = landed.agg(F.lit(0).alias("run"), F.count_distinct("event_id").alias("records"))
-    return rows.recombine(runs, total)
+    found = landed.join(numbered, "run").select("event_id", F.col("number").alias("run"))
+    return rows.recombine(found, empty)
 
 
 @query("""

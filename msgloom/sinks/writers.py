@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from msgloom.functions.times import date_parts
+from msgloom.operators.aggregate import observed
 from msgloom.schemas import RUN_LOG
 
 Sink = Callable[[DataFrame], None]
@@ -40,6 +41,31 @@ def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
+def replace_partitions(
+    df: DataFrame, path: str, keys: Sequence[str], present: Sequence[Sequence[object]], name: str
+) -> None:
+    """Replace the partitions in ``present``: those without a row any more are removed.
+
+    Which partitions have rows is observed on the write; a partition not in ``present``
+    stays as it is. The list holds one entry per folder.
+    """
+    seen = Observation(name)
+    texts = F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
+    overwrite_partitions(df.observe(seen, F.collect_set(texts).alias("written")), path, keys)
+    written = {tuple(row) for row in observed(seen).get("written", [])}
+    for values in present:
+        if tuple(map(str, values)) not in written:
+            folder = "/".join(f"{k}={v}" for k, v in zip(keys, values))
+            remove_folder(df.sparkSession, f"{path}/{folder}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark writes to; none there is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_unified(df: DataFrame, path: str) -> None:
     """Add rows to the unpartitioned unified layer."""
     df.write.mode("append").parquet(path)
@@ -66,8 +92,12 @@ def write_ndjson(
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """CSV with a header; texts that hold a comma, quote or line break are quoted."""
-    df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
+    """CSV with a header; texts that hold a comma, quote or line break are quoted.
+
+    Empty texts and nulls are both written as nothing between the commas.
+    """
+    options = {"header": header, "escape": '"', "emptyValue": ""}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_lines(df: DataFrame, path: str, line: str = "value") -> None:
@@ -88,7 +118,8 @@ def fan_out(df: DataFrame, outputs: Sequence[tuple[Projection, Sink]]) -> None:
 def write_partitioned_by_time(df: DataFrame, ts: str, path: str, mode: str = "append") -> None:
     """JSON lines in year, month and day folders of a time column."""
     parts = date_parts(F.col(ts))
-    df.withColumns(parts).write.mode(mode).partitionBy(*parts).json(path)
+    dated = compact(df.withColumns(parts), *parts)
+    dated.write.mode(mode).partitionBy(*parts).json(path)
 
 
 def guard_empty(df: DataFrame, sink: Sink) -> bool:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from msgloom import config
 from msgloom.functions.times import When, moment
+from msgloom.operators.dedup import keep_first
 from msgloom.operators.shape import compute_once
 from msgloom.schemas import ENVELOPE_METADATA, LANDING_DAY, WEBHOOK, envelope
 
@@ -190,9 +191,20 @@ def read_webhook_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(WEBHOOK).json(path)
 
 
-def latest_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest day's full list from a folder of daily snapshots."""
+def latest_snapshot(
+    spark: SparkSession, path: str, schema: T.StructType, key: str = "id"
+) -> DataFrame:
+    """The newest day's full list from a folder of daily snapshots, each id once.
+
+    Of several snapshots of that day the newest file that holds an id gives its row.
+    """
     snapshots = read_ndjson(spark, path, schema, by_day=True)
     day = F.make_date("year", F.col("month").cast("int"), F.col("day").cast("int"))
-    newest = snapshots.agg(F.max(day)).first()[0]
-    return snapshots.filter(day == F.lit(newest)).drop("year", "month", "day")
+    newest = snapshots.select(day.alias("_day")).agg(F.max("_day")).first()[0]
+    files = ("file_modification_time", "file_name")
+    found = snapshots.filter(day == F.lit(newest)).withColumns(
+        {f"_{name}": F.col(f"_metadata.{name}") for name in files}
+    )
+    order = [*[F.desc(f"_{name}") for name in files], F.xxhash64(*schema.fieldNames())]
+    once = keep_first(found, [key], order)
+    return once.drop("year", "month", "day", *[f"_{name}" for name in files])

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from msgloom import session
 from msgloom.config import EventSettings, Lineage
 from msgloom.operators import aggregate
+from msgloom.operators import rows as rows_of_pages
 from msgloom.plans import dumps, events, landing, leads, notifications, pages, replies
 from msgloom.schemas import LEAD, MESSAGE_EVENT, NOTIFICATION, UNIFIED, WEBHOOK
 from msgloom.sinks import writers
@@ -256,6 +257,19 @@ def test_one_day_again_leaves_rows_dated_into_it_by_another_day(spark, landed):
     assert unified_rows(spark, layers) == EXPECTED
 
 
+def test_days_loaded_again_are_replaced_and_days_gone_are_left(spark, landed):
+    layers = layers_at(landed)
+    whole = dt.date(2025, 11, 1), dt.date(2025, 11, 30)
+    events.run(spark, layers, *whole, LINEAGE, WHEN)
+    land(landed, 1, event("x", "other", 1))  # no known event any more
+    (landed / "landing/year=2025/month=11/day=04/x.json").unlink()
+    (landed / "landing/year=2025/month=11/day=04").rmdir()
+    events.run(spark, layers, *whole, LINEAGE, WHEN)
+    assert unified_rows(spark, layers) == [r for r in EXPECTED if r[3] == "2025-11-04"]
+    for layer in (layers.raw, layers.optimized):
+        assert values(readers.read_layer(spark, layer).select("day").distinct()) == [(4,)]
+
+
 def test_range_at_once_is_day_by_day(spark, landed):
     at_once, by_day = layers_at(landed), layers_at(landed / "other")
     by_day = events.Layers(at_once.landing, *[getattr(by_day, n) for n in
@@ -319,20 +333,55 @@ def test_notification_job_over_three_runs(spark, tmp_path):
     assert found.get("raw_rows", 0) == 0 and found["unified_rows"] == 0
     assert spark.table(name).count() == 2
 
-    # Another version of a notification arrives; raw keeps both, the campaign shows the newer.
+    # Another version of a notification arrives; raw keeps both, the campaign shows the newer,
+    # and the table holds it once.
     put(tmp_path / "landing/3.json", {**first, "successful": 9, "completed_at": 1764550000})
     later = WHEN + dt.timedelta(hours=1)
     assert notifications.run(spark, layers, LINEAGE, later)["raw_rows"] == 1
     row = readers.read_layer(spark, layers.optimized).filter("campaign_id = 'a'").first()
-    assert (row.delivered, row.delivery_status, row.batch_id) == (9, "COMPLETED", 3)
+    assert (row.delivered, row.delivery_status, row.batch_id) == (9, "COMPLETED", 2)
     unified = spark.table(name)
     assert sorted(unified.columns) == sorted(UNIFIED.fieldNames())
     got = unified.filter("campaign_id = 'a'").select("event_type", "event_date", "batch_id")
     day = dt.date(2025, 12, 1)
-    assert values(got) == [("EMAIL", day, 1), ("EMAIL", day, 2)]
+    assert values(got) == [("EMAIL", day, 2)]
     zero = readers.read_layer(spark, layers.optimized).filter("campaign_id = 'z'").first()
     assert (zero.sends, zero.success_rate, zero.campaign_name) == (0, 0.0, "Unknown Campaign")
 
+    # A change in any field is a version: canceled, and another day on which it was queued.
+    moved = {**first, "successful": 9, "completed_at": 1764550000, "queued_at": 1764650000}
+    put(tmp_path / "landing/4.json", {**moved, "canceled": True})
+    last = WHEN + dt.timedelta(hours=2)
+    assert notifications.run(spark, layers, LINEAGE, last)["raw_rows"] == 1
+    got = spark.table(name).filter("campaign_id = 'a'").collect()
+    assert [json.loads(r.unmapped)["delivery_status"] for r in got] == ["CANCELED"]
+    assert [r.event_date for r in got] == [dt.date(2025, 12, 2)] and spark.table(name).count() == 2
+
+
+def test_days_of_a_failed_notification_run_are_taken_up_later(spark, tmp_path, monkeypatch):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    layers = notifications.Layers(
+        *[str(tmp_path / n) for n in ("landing", "raw", "opt")], name,
+        str(tmp_path / "log"), str(tmp_path / "table"),
+    )
+    put(tmp_path / "landing/1.json", {"id": "a", "queued_at": 1764547200})
+    with monkeypatch.context() as patch:
+        patch.setattr(notifications, "to_optimized", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            notifications.run(spark, layers, LINEAGE, WHEN)
+    put(tmp_path / "landing/2.json", {"id": "b", "queued_at": 1764547200})
+    found = notifications.run(spark, layers, LINEAGE, WHEN + dt.timedelta(days=1))
+    assert (found["raw_rows"], found["optimized_rows"], found["unified_rows"]) == (1, 2, 2)
+    put(tmp_path / "landing/3.json", {"id": "c", "queued_at": 1764547200})
+    with monkeypatch.context() as patch:
+        patch.setattr(notifications, "to_unified", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            notifications.run(spark, layers, LINEAGE, WHEN + dt.timedelta(days=1))
+    notifications.run(spark, layers, LINEAGE, WHEN + dt.timedelta(days=2))
+    assert values(spark.table(name), "campaign_id") == [("a",), ("b",), ("c",)]
+    log = spark.read.parquet(layers.run_log)
+    assert sorted(r.status for r in log.collect()) == ["completed"] * 2 + ["failed"] * 2
+
 
 # --- landing -----------------------------------------------------------------------
 def test_landing_goes_on_from_its_position(spark, tmp_path):
@@ -356,14 +405,36 @@ def test_landing_goes_on_from_its_position(spark, tmp_path):
     assert values(back.filter("id IS NOT NULL"), "id") == [(i,) for i in range(5)]
 
 
+def test_late_rows_land_by_their_key(spark, tmp_path):
+    data, log = str(tmp_path / "data"), str(tmp_path / "log")
+    at = [dt.datetime(2025, 1, 1 + i) for i in range(5)]
+
+    def run(found, hour):
+        df = spark.createDataFrame(found, "id INT, t TIMESTAMP")
+        when = WHEN + dt.timedelta(hours=hour)
+        return landing.run(spark, df, "t", data, log, when, key="id", overlap=dt.timedelta(days=2))
+
+    rows = [(0, at[0]), (1, at[2]), (2, at[3]), (3, None)]
+    assert run(rows, 0)["records"] == 4
+    late = [(4, at[3]), (5, at[1]), (6, None), (7, dt.datetime(2020, 1, 1))]
+    assert run(rows + late, 1)["records"] == 3  # all but the one before the overlap
+    assert run(rows + late, 2)["records"] == 0
+    assert run([(8, at[4])], 3)["end_cursor"].startswith("2025-01-05")
+    back = spark.read.schema("id INT").json(data)
+    assert values(back.filter("id IS NOT NULL"), "id") == [(i,) for i in (0, 1, 2, 3, 4, 5, 6, 8)]
+    plain = spark.createDataFrame(rows, "id INT, t TIMESTAMP")
+    landing.run(spark, plain, "t", str(tmp_path / "d2"), str(tmp_path / "l2"), WHEN)
+    assert spark.read.parquet(str(tmp_path / "l2")).first().metrics == {"records": 3, "without_time": 1}
+
+
 # --- dumps, leads, replies, pages --------------------------------------------------
 def test_dump_job(spark, tmp_path):
     source = tmp_path / "dump.sql"
     source.write_text("INSERT INTO t\n(`a`,`b`),\n\n (1,'x, y'),\n(2,NULL);\n(3),\n")
     paths = [str(tmp_path / n) for n in ("csv", "bad", "log")]
     assert dumps.clean_dump(spark, str(source), *paths, WHEN) == {"rows": 2, "rejected": 1}
-    back = spark.read.option("header", True).csv(paths[0])
-    assert values(back) == [("1", "x, y"), ("2", None)]
+    text = [r.value for r in spark.read.text(paths[0]).collect()]
+    assert [t for t in text if t != "a,b"] == ['1,"x, y"', "2,"]
     (tmp_path / "none.sql").write_text("(1,2),\n")
     with pytest.raises(ValueError, match="no header"):
         dumps.clean_dump(spark, str(tmp_path / "none.sql"), *paths, WHEN)
@@ -411,6 +482,10 @@ def test_leads_job(spark, tmp_path):
         assert found == {"sent_rows": 8, "rejected_rows": 2}
     sent = readers.read_layer(spark, paths[0])
     assert sent.count() == 8
+    twice = leads.sent_log(leads.render(leads.lead_normalise(good.unionByName(good)))[0], "+1", WHEN)
+    assert twice.count() == 16 and twice.select("message_sid").distinct().count() == 8
+    again = leads.sent_log(rendered, "+1", WHEN + dt.timedelta(days=90))
+    assert not set(values(again, "message_sid")) & set(values(sent, "message_sid"))
     assert {r.recipient_number for r in sent.collect()} == {"+15550100001", "+15550100002"}
     assert "+" not in sent.first().log_key
     current = leads.current_conversations(sent)
@@ -434,16 +509,31 @@ def test_replies(spark, tmp_path):
     row = talk.filter("conversation_sid = 'C1'").first()
     assert (row.year, row.month, row.day, row.direction) == ("2025", "11", "02", "inbound")
     assert row.customer_name == "" and row.sender_country is None
-    replies.intake(requests, str(tmp_path / "sms"), str(tmp_path / "talk"), WHEN)
-    assert (tmp_path / "sms/year=2025/month=12/day=01").is_dir()
-    assert (tmp_path / "talk/year=2025/month=11/day=02").is_dir()
+    for _ in range(2):
+        replies.intake(requests, str(tmp_path / "sms"), str(tmp_path / "talk"), WHEN, "r1")
+    assert (tmp_path / "sms/run=r1/year=2025/month=12/day=01").is_dir()
+    assert (tmp_path / "talk/run=r1/year=2025/month=11/day=02").is_dir()
+    assert spark.read.json(str(tmp_path / "sms")).count() == 2
+    replies.intake(requests.limit(1), str(tmp_path / "sms"), str(tmp_path / "talk"), WHEN, "r2")
+    assert spark.read.json(str(tmp_path / "sms")).count() == 3
+
+
+def test_cells_of_tables_within_tables(spark):
+    inner = "<table><tr><td>x</td><td>y</td></tr></table>"
+    page = f"<table><TR><td>a</td><td>{inner}{inner}</td><td>b</td></TR><tr><td>c</td></tr></table>"
+    df = spark.createDataFrame([(1, page + page)], "page_id BIGINT, html STRING")
+    found = rows_of_pages.extract_html_rows(df)
+    assert [r.cells for r in found.orderBy("row_number").collect()] == [["a", "xyxy", "b"], ["c"]] * 2
 
 
 def test_page_rows(spark, tmp_path):
     def row(n):
-        return "<tr>" + "".join(f"<td>{n}.{i}</td>" for i in range(n)) + "</tr>"
+        return "<tr class='a singleLineDisplay DisplayRegRow'>" + "".join(f"<td>{n}.{i}</td>" for i in range(n)) + "</tr>"
 
-    df = spark.createDataFrame([(1, row(9) + row(5) + row(12))], "page_id BIGINT, html STRING")
+    heading = "<tr class='DisplayRegRow singleLineDisplay'>" + "<th>H</th>" * 12 + "</tr>"
+    other = "<tr>" + "<td>o</td>" * 12 + "</tr>"
+    page = "<table>" + heading + row(9) + other + row(5) + row(12) + "</table>"
+    df = spark.createDataFrame([(1, page)], "page_id BIGINT, html STRING")
     roster = pages.roster_rows(df)
     assert values(roster, "Last Name", "Email") == [("12.2", "12.8"), ("9.2", "9.8")]
     listing = pages.listing_rows(df)
