@@ -24,6 +24,17 @@ KEPT_PIECES = 400_000
 # A blank beside other white space, at which a split would not be certain.
 UNCERTAIN = re.compile(r"\s | \s")
 CERTAIN = re.compile(r"(?<=\S) (?=\S)")
+# Words of printable ASCII without the apostrophe and of Latin-1 letters: what the patterns
+# of both vocabularies make of them can be said with their own letters and digits.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+SAFE = re.compile(rf" ?[{LETTERS}0-9!-&(-/:-@\[-`{{-~]+")
+LOW_PARTS = re.compile(rf"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9 ]+")
+PARTS = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+| ?[^{LETTERS}0-9 ]+")
+# The sign that byte-level vocabularies write for each byte: printable ones stand for
+# themselves, the others, in order, for characters from 256 on.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+OTHERS = [b for b in range(256) if b not in PRINTED]
+SIGNS = {b: chr(b) for b in PRINTED} | {b: chr(256 + k) for k, b in enumerate(OTHERS)}
 PIECE_CHARS = 400  # longer pieces are not kept
 
 
@@ -74,15 +85,41 @@ class Encoder:
         self.name, self.kind, self.counts = name, kind, counts
         self.cut, self.kept = cut_kind(name), {}
         self.tok = tokenizer(name)
+        self.model, self.word_parts = self.tok.model, {}
+        self.parts = (LOW_PARTS if self.cut == "space" else PARTS).findall
+
+    def _packed(self, ids: list[int]) -> bytes | int:
+        return len(ids) if self.counts else np.array(ids, self.kind).tobytes()
 
     def _made(self, pieces: list[str]) -> list:
-        found = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
-        if self.counts:
-            return [len(e) for e in found]
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        """Results of pieces that are not kept: plain ones word part by word part, others whole."""
+        out, whole = [None] * len(pieces), []
+        for i, piece in enumerate(pieces):
+            plain = self._plain(piece)
+            if self.cut != "none" and SAFE.fullmatch(plain) and "<|" not in plain:
+                found = [self._part(p) for p in self.parts(plain.lower() if self.cut == "space" else plain)]
+                out[i] = sum(found) if self.counts else b"".join(found)
+            else:
+                whole.append((i, plain))
+        ids = self.tok.encode_batch_fast([p for _, p in whole], add_special_tokens=False)
+        for (i, _), encoding in zip(whole, ids):
+            out[i] = self._packed(encoding.ids)
+        return out
+
+    def _part(self, part: str) -> bytes | int:
+        """One piece of the vocabulary's pattern, given to the library's merges."""
+        found = self.word_parts.get(part)
+        if found is None:
+            if len(self.word_parts) > KEPT_PIECES:
+                self.word_parts.clear()
+            signs = part.replace(" ", "\u0120") if part.isascii() else "".join(SIGNS[b] for b in part.encode())
+            found = self.word_parts[part] = self._packed([t.id for t in self.model.tokenize(signs)])
+        return found
 
     def _pieces(self, text: str) -> list[str]:
         if self.cut == "space":
+            if text.isascii() and "<|" not in text:  # special texts are matched before letters are lowered
+                text = text.lower()
             return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         if self.cut == "blank" and text:
             parts = CERTAIN.split(text) if UNCERTAIN.search(text) else text.split(" ")
@@ -98,11 +135,12 @@ class Encoder:
     def many(self, texts: list[str]) -> list:
         """For each text, its packed ids or their number."""
         split = [self._pieces(t) for t in texts]
-        new = list(set().union(*split).difference(self.kept)) if split else []
+        kept = self.kept
+        new = list({p for pieces in split for p in pieces if p not in kept})
         if len(self.kept) + len(new) > KEPT_PIECES:
             self.kept.clear()
             new = list(set().union(*split))
-        once = dict(zip(new, self._made([self._plain(p) for p in new]))) if new else {}
+        once = dict(zip(new, self._made(new))) if new else {}
         self.kept.update(once)
         get = self.kept.__getitem__
         made = [sum(map(get, p)) if self.counts else b"".join(map(get, p)) for p in split]
