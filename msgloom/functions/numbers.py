@@ -27,8 +27,8 @@ def cost(credits: Column, price: float, as_type: str = "decimal(18,4)") -> Colum
 
 
 def exact_sum(col: Column) -> Column:
-    """Sum of money-like doubles that does not depend on task order."""
-    return F.sum(col.cast("decimal(18,4)")).cast("double")
+    """Sum of money-like doubles, to eight decimals, that does not depend on task order."""
+    return F.sum(col.cast("decimal(38,8)")).cast("double")
 
 
 def exact_avg(col: Column) -> Column:

@@ -202,16 +202,21 @@ def run(
     log = dict(run_id=run_id, job="events", as_of=as_of, metrics=metrics,
                start_cursor=str(start), end_cursor=str(end))
     try:
-        landed = readers.read_ndjson(spark, layers.landing, MESSAGE_EVENT, by_day=True)
+        landed = readers.read_ndjson(
+            spark, layers.landing, MESSAGE_EVENT, by_day=True, corrupt=True
+        )
         landed = readers.read_day_range(landed, start, end)
         seen = Observation(f"{run_id}-landing")
-        counted = landed.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = landed.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count(readers.CORRUPT).alias("corrupt")
+        )
         raw = to_raw(counted, lineage, as_of, settings)
         # Only days that have landed are replaced, all their rows gone included; a day whose
         # landing is no longer there keeps the rows it has.
         present = _present_days(landed)
         writers.replace_partitions(raw, layers.raw, DAY, present, f"{run_id}-raw")
         metrics["landing_rows"] = aggregate.observed(seen).get("rows", 0)
+        metrics["corrupt_lines"] = aggregate.observed(seen).get("corrupt", 0)
         days = spark.createDataFrame(present, "year INT, month STRING, day STRING")
         batches = aggregate.run_batch_counter(days, list(DAY))
 

@@ -164,7 +164,10 @@ def to_unified(optimized: DataFrame, as_of: When, batch_id: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the layers are. ``table`` is a catalog table, ``table_path`` its folder."""
+    """Where the layers are. ``table`` is a catalog table, ``table_path`` its folder.
+
+    Landed files that cannot be read are kept in ``quarantine``, and counted in any case.
+    """
 
     landing: str
     raw: str
@@ -172,6 +175,7 @@ class Layers:
     table: str
     run_log: str
     table_path: str | None = None
+    quarantine: str | None = None
 
 
 def existing_layer(spark: SparkSession, path: str) -> DataFrame | None:
@@ -264,9 +268,12 @@ def run(
     log = dict(run_id=run_id, job=JOB, as_of=as_of, metrics=metrics)
     try:
         known = existing_layer(spark, layers.raw)
-        landed = readers.read_notifications(
+        landed, bad = readers.read_checked_notifications(
             spark, layers.landing, NOTIFICATION, modified_after
         )
+        metrics["quarantined"] = bad.count()
+        if layers.quarantine and metrics["quarantined"]:
+            bad.write.mode("overwrite").parquet(f"{layers.quarantine}/run_id={run_id}")
         raw = to_raw(landed, lineage, as_of, _next_batch(known), layers.landing)
         if known is not None:
             raw = dedup.anti_new_rows(raw, known, "record_id")

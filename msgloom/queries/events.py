@@ -167,7 +167,7 @@ kept AS (
   QUALIFY row_number() OVER (PARTITION BY user_id, k ORDER BY ts, event_id) = 1)
 SELECT {case_sql(_NAME, config.EVENT_STATUSES, "OTHER")} AS status,
   CAST(count(*) AS BIGINT) AS events,
-  CAST(sum(CAST(value AS DECIMAL(18, 4))) AS DOUBLE) AS total_value
+  CAST(sum(CAST(value AS DECIMAL(38, 8))) AS DOUBLE) AS total_value
 FROM kept GROUP BY 1
 """)
 def unique_touch_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -501,12 +501,10 @@ def backfill_of_a_day_loaded_again(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query(f"""
 WITH {EVENT_CTES.replace("PARTITION BY year, month, day, profile_id", "PARTITION BY profile_id")}
-SELECT status_calc, count(*) AS events FROM optimized GROUP BY 1
+SELECT source_event_id, status_calc FROM optimized
 """)
 def first_clicks_over_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First clicks over the whole range in place of each landing day."""
     settings = EventSettings(day_columns=())
     raw = event_job.to_raw(message_events(spark, sf_dir), LINEAGE, AS_OF, settings)
-    return aggregate.count_by(
-        event_job.to_optimized(raw, AS_OF, settings), "status_calc", "events"
-    )
+    return event_job.to_optimized(raw, AS_OF, settings).select("source_event_id", "status_calc")

@@ -55,7 +55,7 @@ def notifications_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {NOTIFICATION_CTES}
 SELECT message_type, CAST(sum(sends) AS BIGINT) AS total_sends,
   CAST(sum(delivered) AS BIGINT) AS total_delivered, CAST(sum(clicks) AS BIGINT) AS total_clicks,
-  CAST(sum(CAST(success_rate AS DECIMAL(18, 4))) AS DOUBLE) / count(*) AS avg_success_rate
+  CAST(sum(CAST(success_rate AS DECIMAL(38, 8))) AS DOUBLE) / count(*) AS avg_success_rate
 FROM campaigns GROUP BY message_type
 """)
 def channel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,9 @@ from msgloom.operators.shape import compute_once
 from msgloom.schemas import ENVELOPE_METADATA, LANDING_DAY, WEBHOOK, envelope
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_json_documents(
     spark: SparkSession, path: str, schema: T.StructType, modified_after: str | None = None
 ) -> DataFrame:
@@ -29,17 +32,46 @@ def read_json_documents(
 
 
 def read_ndjson(
-    spark: SparkSession, path: str, schema: T.StructType, by_day: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    by_day: bool = False,
+    corrupt: bool = False,
 ) -> DataFrame:
     """One JSON object per line; ``by_day`` adds the folder columns year, month and day.
 
-    Filters on those columns then choose folders before any file is opened.
+    Filters on those columns then choose folders before any file is opened. ``corrupt``
+    adds a column with the text of lines that are no valid JSON.
     """
+    if corrupt:
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     if by_day:
         schema = T.StructType(schema.fields + LANDING_DAY.fields)
     return spark.read.schema(schema).json(path)
 
 
+def read_checked_documents(
+    spark: SparkSession, path: str, schema: T.StructType, modified_after: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with their file, and the files that are no valid JSON: file, content and reason.
+
+    Without the check such a file would become a record of nulls. Files are read as text,
+    as a JSON source does not give its corrupt records alone.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    files = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
+    checked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", checked, {"columnNameOfCorruptRecord": CORRUPT})
+    read = compute_once(files, "_parsed", parsed)
+    torn = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
+    good = read.filter(~torn).select("_file", *[F.col("_parsed")[f].alias(f) for f in schema.fieldNames()])
+    reason = F.lit("Invalid JSON").alias("reason")
+    bad = read.filter(torn).select(F.col("_file").alias("file"), F.col("value").alias("content"), reason)
+    return good, bad
+
+
 def unwrap_envelope(documents: DataFrame) -> DataFrame:
     """One row per record in ``data``, with the envelope's own fields as ``landing_*``."""
     fields = documents.schema["metadata"].dataType.fieldNames()
@@ -52,14 +84,24 @@ def read_notifications(
 ) -> DataFrame:
     """Records from envelopes and from flat one-record files, mixed in any way.
 
-    ``data`` is an array of records in one and a plain map field in the other, so it is
-    read as raw text and parsed by what the file turned out to be.
+    Files that cannot be read are left out; ``read_checked_notifications`` gives them too.
+    """
+    return read_checked_notifications(spark, path, record, modified_after)[0]
+
+
+def read_checked_notifications(
+    spark: SparkSession, path: str, record: T.StructType, modified_after: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Records, and the files that give none: file, content and reason.
+
+    ``data`` is an array of records in an envelope and a plain map field in a flat file, so
+    it is read as raw text and parsed by what the file turned out to be.
     """
     loose = T.StructType(
         [T.StructField("metadata", ENVELOPE_METADATA)]
         + [T.StructField(f.name, T.StringType()) if f.name == "data" else f for f in record.fields]
     )
-    documents = read_json_documents(spark, path, loose, modified_after)
+    documents, bad = read_checked_documents(spark, path, loose, modified_after)
     data_type = record["data"].dataType
     flat = F.struct(
         *[
@@ -67,10 +109,19 @@ def read_notifications(
             for n in record.fieldNames()
         ]
     ).cast(record)
-    records = F.when(
-        F.col("metadata").isNotNull(), F.from_json("data", T.ArrayType(record))
-    ).otherwise(F.array(flat))
-    return documents.select(F.inline(records))
+    is_envelope = F.col("metadata").isNotNull()
+    listed = F.when(is_envelope, F.from_json("data", T.ArrayType(record)))
+    documents = compute_once(documents, "_records", listed)
+    # A text that is no list of records parses to null, or to a list of one null.
+    is_list = F.btrim("data").startswith("[") & F.col("_records").isNotNull()
+    unread = is_envelope & F.col("data").isNotNull() & ~F.coalesce(is_list, F.lit(False))
+    bad = bad.unionByName(
+        documents.filter(unread).select(
+            F.col("_file").alias("file"), F.col("data").alias("content"), F.lit("Invalid data").alias("reason")
+        )
+    )
+    records = F.when(is_envelope, F.col("_records")).otherwise(F.array(flat))
+    return documents.filter(~unread).select(F.inline(records)), bad
 
 
 def envelope_mismatches(documents: DataFrame) -> DataFrame:

@@ -60,6 +60,28 @@ def test_envelopes_and_flat_files_side_by_side(spark, tmp_path):
     assert values(readers.envelope_mismatches(documents), "records_held") == [(0,)]
 
 
+def test_files_that_are_no_records_are_kept_apart(spark, tmp_path):
+    meta = {"batch_number": 1, "record_count": 1, "ingestion_timestamp": "t", "source": "api"}
+    put(tmp_path / "in/good.json", {"metadata": meta, "data": [{"id": "a"}]})
+    put(tmp_path / "in/flat.json", {"id": "b", "data": {"k": "v"}})
+    put(tmp_path / "in/none.json", {"metadata": meta, "data": []})
+    (tmp_path / "in/torn.json").write_text('{"id": "c", "name"')
+    put(tmp_path / "in/odd.json", {"metadata": meta, "data": "no list"})
+    good, bad = readers.read_checked_notifications(spark, str(tmp_path / "in"), NOTIFICATION)
+    assert values(good, "id") == [("a",), ("b",)]
+    found = {(r.file.rsplit("/", 1)[1], r.reason) for r in bad.collect()}
+    assert found == {("torn.json", "Invalid JSON"), ("odd.json", "Invalid data")}
+
+
+def test_torn_lines_of_events_are_counted(spark, tmp_path):
+    layers = layers_at(tmp_path)
+    land(tmp_path, 1, event("a", SENT, 1))
+    with (tmp_path / "landing/year=2025/month=11/day=01/x.json").open("a") as file:
+        file.write('\n{"type": "event", "id"\n')
+    found = events.run(spark, layers, dt.date(2025, 11, 1), dt.date(2025, 11, 1), LINEAGE, WHEN)
+    assert (found["landing_rows"], found["corrupt_lines"], found["unified_rows"]) == (2, 1, 1)
+
+
 def test_files_of_runs_long_done_are_not_read(spark, tmp_path):
     put(tmp_path / "old.json", {"id": "old"})
     put(tmp_path / "new.json", {"id": "new"})
@@ -244,7 +266,8 @@ def test_backfill_and_its_repetition(spark, landed):
         found = events.run(
             spark, layers, dt.date(2025, 11, 1), dt.date(2025, 11, 30), LINEAGE, WHEN
         )
-        assert found == {"landing_rows": 11, "optimized_rows": 5, "unified_rows": 5}
+        assert found == {"landing_rows": 11, "corrupt_lines": 0, "optimized_rows": 5,
+                         "unified_rows": 5}
         assert unified_rows(spark, layers) == EXPECTED
     log = spark.read.parquet(layers.run_log)
     assert values(log, "status", "total_records") == [("completed", 11)] * 2
