@@ -68,6 +68,27 @@ class Rows:
             self.clear()
 
 
+def packed_texts(once: bool = False):
+    """Compresses the last column, a text, before a shuffle.
+
+    With ``once`` a task gives one row for each value of the first column.
+    """
+    import zstandard
+
+    def pack(batches: Batches) -> Iterator[pa.RecordBatch]:
+        squeeze, seen = zstandard.ZstdCompressor(level=1).compress, set()
+        for batch in batches:
+            if once:
+                keys = batch.column(0).to_pylist()
+                new = [k not in seen and not seen.add(k) for k in keys]
+                batch = batch.filter(pa.array(new, pa.bool_()))
+            data = [squeeze(t.encode()) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(data, pa.binary())],
+                                             names=[*batch.schema.names[:-1], "packed"])
+
+    return pack
+
+
 def open_folder(uri: str):
     """The file system of a shared folder and the path in it, from inside a task."""
     from pyarrow import fs
