@@ -2,10 +2,11 @@
 
 The items are the indexed documents, the passages of every training text the queries. An
 item is retrieved when the BM25 score of a passage reaches a share of the item's score for
-its own words. Terms are taken by falling upper bound; those that could not reach the
-threshold together bring up no candidates. Items stand in blocks, each with its highest
-score per term, so that whole blocks are passed over without scoring an item. What is
-retrieved is verified: the word 5-grams of question and answer must be in the text.
+its own words. The shortest terms of an item, as many as make up less than half the threshold,
+bring up no candidates: its other, heavy terms must bring the rest, and only blocks with
+items for which a passage's heavy terms do are looked at. A block holds some items with its highest score per term, so that
+whole blocks are passed over without scoring an item. What is retrieved is verified: the
+word 5-grams of question and answer must be in the text.
 """
 
 from __future__ import annotations
@@ -82,6 +83,18 @@ class Index:
             whole = sum(weights.values())
             for term, weight in weights.items():
                 postings[self.terms[term]].append((item, weight / whole))
+        # Per item its shortest terms, which make up less than half the threshold, are light;
+        # any choice will do, and long words are rare ones. The others are heavy.
+        self.heavy: dict[str, list[tuple[int, float]]] = {}
+        self.needed = np.zeros(n)  # what the heavy terms must bring for an item to be retrieved
+        for item, count in enumerate(counts):
+            mine = sorted((len(t), t, dict(postings[self.terms[t]])[item]) for t in count)
+            upto = np.cumsum([w for *_, w in mine])
+            light = int(np.searchsorted(upto, threshold / 2))
+            self.needed[item] = threshold - (upto[light - 1] if light else 0.0) - 1e-9
+            for _, term, weight in mine[light:]:
+                self.heavy.setdefault(term, []).append((item, weight))
+        self.heavy_words = set(self.heavy)
         self.at = np.cumsum([0] + [len(p) for p in postings])
         flat = [x for p in postings for x in p]
         self.item = np.array([i for i, _ in flat], np.int64)
@@ -105,16 +118,17 @@ class Index:
         """Places of the postings of some terms."""
         return np.concatenate([np.arange(starts[t], starts[t + 1]) for t in terms.tolist()])
 
-    def retrieve(self, terms: np.ndarray) -> list[tuple[int, float]]:
-        """Items whose score for a passage of these distinct terms reaches the threshold."""
-        bound = self.best[terms]
-        order = np.argsort(bound)
-        # The weakest terms that cannot reach the threshold together bring up no candidate.
-        weak = int(np.searchsorted(np.cumsum(bound[order]), self.threshold))
-        strong = terms[order[weak:]]
-        if not len(strong):
-            return []
-        seen = np.unique(self.block[self._postings(self.block_at, strong)])
+    def hopeful(self, words: set[str]) -> set[int]:
+        """Blocks with an item that these heavy words bring near enough to the threshold."""
+        brought: dict[int, float] = {}
+        for word in words:
+            for item, weight in self.heavy[word]:
+                brought[item] = brought.get(item, 0.0) + weight
+        return {i // BLOCK_ITEMS for i, share in brought.items() if share >= self.needed[i]}
+
+    def retrieve(self, terms: np.ndarray, blocks: set[int]) -> list[tuple[int, float]]:
+        """Items of some blocks whose score for these distinct terms reaches the threshold."""
+        seen = np.array(sorted(blocks), np.int64)
         places = self._postings(self.block_at, terms)
         tops = np.bincount(self.block[places], self.block_top[places], self.blocks)
         good = np.zeros(self.blocks, bool)
@@ -133,18 +147,15 @@ class Index:
         Passages are twice as long as the longest item and start at each of its lengths, so
         every run of words as long as an item lies in one.
         """
-        get, other = self.terms.get, len(self.terms)
-        ids = np.fromiter((get(w, other) for w in words), np.int64, len(words))
-        step = self.longest
-        bounds = np.concatenate([[0.0], np.cumsum(self.best[ids])])
-        starts = np.arange(0, max(1, len(ids) - step), step)
-        ends = np.minimum(starts + 2 * step, len(ids))
-        found: dict[int, float] = {}
-        for k in np.flatnonzero(bounds[ends] - bounds[starts] >= self.threshold - 1e-9).tolist():
-            terms = np.unique(ids[starts[k] : ends[k]])
-            terms = terms[terms < other]
-            if self.best[terms].sum() >= self.threshold - 1e-12:
-                for item, score in self.retrieve(terms):
+        if self.heavy_words.isdisjoint(words):
+            return {}
+        step, found = self.longest, {}
+        held = [self.heavy_words.intersection(words[a : a + step]) for a in range(0, len(words), step)]
+        for k in range(max(1, len(held) - 1)):
+            blocks = self.hopeful(held[k].union(*held[k + 1 : k + 2]))
+            if blocks:
+                own = {self.terms[w] for w in words[k * step : (k + 2) * step] if w in self.terms}
+                for item, score in self.retrieve(np.array(sorted(own), np.int64), blocks):
                     found[item] = max(score, found.get(item, 0.0))
         return found
 
