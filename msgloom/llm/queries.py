@@ -59,7 +59,8 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    pairs = decontaminate.find_items(docs, items, near=True)
     return pairs.drop("text_key", "score")
 
 

@@ -116,6 +116,40 @@ def test_items_in_texts(spark, seed):
     assert decontaminate.find_items(docs.limit(0), bench).count() == 0
 
 
+def test_one_changed_word_does_not_hide_an_item(spark):
+    rng = random.Random(6)
+    items = [(n, prose(rng, n)) for n in range(4, 60)]
+    texts, want = [], set()
+    for n, passage in items:
+        words = passage.split()
+        copies = [words] + [words[:k] + new + words[k + 1 :] for k in range(n) for new in (["changed"], [], [words[k], "put"])]
+        for copy in copies:
+            want.add((len(texts), n))
+            texts.append(" ".join([prose(rng, 90), *copy, prose(rng, 90)]))
+        # Clean: other prose, the item's words in another order, and one half without the other.
+        mixed = words[::-1]
+        for clean in ([], mixed, words[: n // 2] if n >= 8 else [], words[-(n // 2) :] if n >= 8 else []):
+            texts.append(" ".join([prose(rng, 90), *clean, prose(rng, 90)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_items(docs, bench, near=True).collect()}
+    assert got == want
+    kept = decontaminate.without_items(docs, bench, near=True).collect()
+    assert {r.doc_id for r in kept} == set(range(len(texts))) - {d for d, _ in want}
+    exact = {(r.doc_id, r.item_id) for r in decontaminate.find_items(docs, bench).collect()}
+    assert exact < got
+
+
+def test_question_and_answer_that_stand_apart(spark):
+    rng = random.Random(7)
+    question, answer = prose(rng, 24).split(), prose(rng, 24).split()
+    text = " ".join([*question[3:21], prose(rng, 300), *answer[3:21]])
+    docs = spark.createDataFrame([(1, text), (2, prose(rng, 300))], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(question), " ".join(answer))], "item_id long, q string, a string")
+    got = decontaminate.find_items(docs, bench, question_col="q", answer_col="a", near=True).collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(1, 5)]
+
+
 def test_several_indexes_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "INDEX_BYTES", 500)
     items, texts = items_and_texts(3)
