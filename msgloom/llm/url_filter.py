@@ -14,7 +14,7 @@ from msgloom.llm.common import stored
 
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 QUERY = r"(?s)^.*?://[^?#]*\?([^#]*)"
-#: Labelled rows the trees are fitted on at most; statistics take all labelled rows.
+#: Labelled urls the trees are fitted on at most; statistics take all labelled rows.
 FIT_ROWS = 20_000
 TREES, DEPTH, SEED = 15, 4, 7
 PRIOR = 10.0  # rows that a suffix's share of blocked ones is pulled to the mean by
@@ -121,20 +121,48 @@ def with_shares(urls: DataFrame, labelled: DataFrame) -> DataFrame:
     return out.drop("mean")
 
 
+def sample_of(labelled: DataFrame, fit_rows: int) -> DataFrame | None:
+    """url, label and weight of at most ``fit_rows`` distinct urls, taken by the hash of the url.
+
+    Each label has half of them, or what the other leaves. A url weighs as much as its
+    rows, times the label's rows for each of its rows in the sample, so that the labels weigh as
+    among all rows. None where all rows have one label.
+    """
+    least, most = labelled.agg(F.min("label"), F.max("label")).first()
+    if least == most:
+        return None
+    urls = labelled.groupBy("url", "label").agg(F.count(F.lit(1)).alias("rows"))
+    order = (F.xxhash64("url"), F.col("url"), F.col("label"))
+    sides = (F.col("label") < most, F.col("label") == most)
+    first = [urls.filter(side).orderBy(*order).limit(fit_rows) for side in sides]
+    firsts = stored(first[0].unionByName(first[1]), "url-candidates")
+    counts = firsts.agg(*(F.count_if(side) for side in sides)).first()
+    quota = [max(1, fit_rows // 2, fit_rows - n) for n in reversed(counts)]
+    whole = labelled.agg(*(F.count_if(side) for side in sides)).first()
+    taken = []
+    for side, most_urls, rows in zip(sides, quota, whole):
+        mine = firsts.filter(side).orderBy(*order).limit(most_urls)
+        share = F.lit(float(rows)) / mine.agg(F.sum("rows")).first()[0]
+        taken.append(mine.select("url", "label", (F.col("rows") * share).alias("weight")))
+    return taken[0].unionByName(taken[1])
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> GBTClassificationModel | None:
-    """Trees fitted on at most ``fit_rows`` labelled rows, taken by the hash of their url.
+    """Trees fitted on a sample of at most ``fit_rows`` labelled urls that has both labels.
 
     None where the rows have one label only.
     """
-    order = (F.xxhash64("url"), F.col("url"), F.col("label"))
-    picked = labelled.select("url", "label", *FEATURES).orderBy(*order).limit(fit_rows)
-    sample = stored(picked.coalesce(1), "url-sample").coalesce(1)
-    if len(sample.select("label").distinct().take(2)) < 2:
+    picked = sample_of(labelled, fit_rows)
+    if picked is None:
         return None
+    places = picked.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    shares = with_shares(lexical(places), labelled).select("url", "label", "weight", *FEATURES)
+    order = (F.xxhash64("url"), F.col("url"), F.col("label"))
+    sample = stored(shares.orderBy(*order).coalesce(1), "url-sample").coalesce(1)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, seed=SEED,
-                          cacheNodeIds=False)
-    return trees.fit(vectors.select("label", "features"))
+    trees = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=TREES, maxDepth=DEPTH,
+                          seed=SEED, cacheNodeIds=False)
+    return trees.fit(vectors.select("label", "features", "weight"))
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[Rule, ...] = RULES,
@@ -157,7 +185,7 @@ def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, rules: tupl
         given = labelled.select(F.col("url").cast("string").alias("url"), F.col("label").cast("double").alias("label"))
         places = given.dropna().withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
         known = lexical(places)
-    model = fit(with_shares(known, known), fit_rows)
+    model = fit(known, fit_rows)
     if model is None:
         kind = known.select(F.max("label")).first()[0]
         return judged.select("page_id", "host", "path", "rule", F.coalesce(

@@ -145,3 +145,20 @@ def test_labels_of_one_kind_or_none(spark):
     assert verdicts(spark, ["https://b.net/"])[0][3] == "allow"
     pages = spark.createDataFrame([(1, "u")], "page_id long, url string").limit(0)
     assert url_filter.filter_urls(pages).count() == 0
+
+
+def test_sample_has_both_labels(spark):
+    # One url fills the sample by its rows; blocked ones are rare; both labels must get in.
+    rows = [("https://hot.example.net/about", 0.0)] * 400 + [(f"https://n{i}.example.net/team", 0.0) for i in range(60)]
+    rows += [(f"https://win-cash.example.net/{i}77-{i}3?a=1&b=2", 1.0) for i in range(6)]
+    known = spark.createDataFrame(rows, "url string, label double")
+    got = {(r.url, r.label): r.weight for r in url_filter.sample_of(known, 20).collect()}
+    assert len(got) == 20 and sum(label for _, label in got) == 6
+    for label in (0.0, 1.0):
+        whole = sum(x == label for _, x in rows)
+        assert abs(sum(w for (_, x), w in got.items() if x == label) - whole) < 1e-6
+    everything = {(r.url, r.label): r.weight for r in url_filter.sample_of(known, 1000).collect()}
+    assert len(everything) == 67 and everything["https://hot.example.net/about", 0.0] == 400.0
+    assert url_filter.sample_of(known.filter("label = 0"), 20) is None
+    judged = verdicts(spark, ["https://n99.example.net/team"], labelled=known, rules=(), fit_rows=20)
+    assert judged[0][3] == "allow"
