@@ -5,6 +5,9 @@ so small values are exact and large ones are off by less than 1/64. Two sketches
 adding their counts, in any order with one result; their size is bounded whatever the
 number of rows. A rule's threshold is a fence around the middle half of the values of a
 document's own language and source; where those are too few, of its language, else of all.
+No fence lies further out than the bounds of the language and of the whole corpus, which come
+from the half of their values on the clean side of the median: junk that makes up less than
+half of them does not move them, however much of one source it is.
 """
 
 from __future__ import annotations
@@ -33,7 +36,9 @@ class Rule:
     """A rate in thousandths and the least room its fence leaves beyond the quartile.
 
     A fence lies ``reach`` times the distance between the quartiles beyond them, and at
-    least ``room``. ``low`` puts one below as well.
+    least ``room``. ``low`` puts one below as well; such a value depends on the language, so
+    that its fences are bounded by those of the language only. A bound lies a further ``room``
+    beyond the median and as much as a fence beyond the quartile.
     """
 
     name: str
@@ -115,21 +120,25 @@ def merged(sketch: DataFrame, *by: str) -> DataFrame:
 
 
 def fences(sketch: DataFrame, *by: str) -> DataFrame:
-    """For each group: its rows, and low and high fence of each rule in columns."""
+    """For each group: its rows, and low and high fence and bound of each rule in columns."""
     group = Window.partitionBy(*by, "rule")
     upto = F.sum("rows").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     counted = sketch.withColumn("upto", upto).withColumn("all", F.sum("rows").over(group))
     at = lambda share: F.min(F.when(F.col("upto") * 4 >= F.col("all") * share, F.col("bucket")))
     quartiles = counted.groupBy(*by, "rule").agg(
-        at(1).alias("q1"), at(3).alias("q3"), F.first("all").alias("all")
+        at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3"), F.first("all").alias("all")
     )
     room = F.create_map(*(F.lit(x) for r in RULES for x in (r.name, r.room)))[F.col("rule")]
     reach = F.greatest((F.col("q3") - F.col("q1")) * REACH, room)
-    both = quartiles.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
+    # The bounds: from the median, by the spread on its other side, and with a margin of ``room``.
+    below = F.greatest((F.col("q2") - F.col("q1")) * REACH, room) + room
+    above = F.greatest((F.col("q3") - F.col("q2")) * REACH, room) + room
+    both = quartiles.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach,
+                                  "least": F.col("q2") - above, "most": F.col("q2") + below})
     return both.groupBy(*by).agg(
         F.max("all").alias("rows"),
-        *(F.max(F.when(F.col("rule") == r.name, F.col("high"))).alias(f"{r.name}_high") for r in RULES),
-        *(F.max(F.when(F.col("rule") == r.name, F.col("low"))).alias(f"{r.name}_low") for r in RULES if r.low),
+        *(F.max(F.when(F.col("rule") == r.name, F.col(end))).alias(f"{r.name}_{end}")
+          for r in RULES for end in ("high", "most", *(("low", "least") if r.low else ()))),
     )
 
 
@@ -151,18 +160,22 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     measured = measured.withColumn("base_failed", failed)
     sketch = sketches(measured.filter("not base_failed"))
-    names = [f"{r.name}_high" for r in RULES] + [f"{r.name}_low" for r in RULES if r.low]
     own = fences(sketch, "lang", "source")
     language = fences(merged(sketch, "lang"), "lang")
     whole = fences(merged(sketch))
-    # The finest group with enough documents gives the fences.
+    # The finest group with enough documents gives the fences, the coarser ones the bounds.
     enough = lambda t: F.col(f"{t}.rows") >= FEWEST
+    finest = lambda n: F.when(enough("a"), F.col(f"a.{n}")).when(enough("b"), F.col(f"b.{n}")).otherwise(F.col(f"c.{n}"))
+    tongue = lambda n: F.when(enough("b"), F.col(f"b.{n}"))
+    ends = [F.least(finest(f"{r.name}_high"), tongue(f"{r.name}_most"),
+                    F.lit(None).cast("long") if r.low else F.col(f"c.{r.name}_most")).alias(f"{r.name}_high")
+            for r in RULES]
+    ends += [F.greatest(finest(f"{r.name}_low"), tongue(f"{r.name}_least")).alias(f"{r.name}_low")
+             for r in RULES if r.low]
     chosen = (
         own.alias("a").join(language.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")))
         .crossJoin(F.broadcast(whole).alias("c"))  # one row
-        .select("a.lang", "a.source", *(
-            F.when(enough("a"), F.col(f"a.{n}")).when(enough("b"), F.col(f"b.{n}")).otherwise(F.col(f"c.{n}"))
-            .alias(n) for n in names))
+        .select("a.lang", "a.source", *ends)
     )
     same = F.col("m.lang").eqNullSafe(F.col("t.lang")) & F.col("m.source").eqNullSafe(F.col("t.source"))
     joined = measured.alias("m").join(chosen.alias("t"), same, "left")

@@ -54,6 +54,20 @@ def test_verdicts(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_a_source_of_junk_sets_no_fence_of_its_own(spark):
+    rng = random.Random(4)
+    spam = lambda: " ".join("###"[: len(w)] + w[3:] for w in prose(rng, 80).split())
+    rows = [(prose(rng, 80), "en", f"s{i % 3}", True) for i in range(240)]
+    # Over a quarter, and nearly all, of a source; a third of all rows in one source.
+    rows += [(spam() if i % 5 < 2 else prose(rng, 80), "en", "part", i % 5 >= 2) for i in range(60)]
+    rows += [(spam(), "en", "hot", False) for _ in range(180)] + [(prose(rng, 80), "en", "hot", True) for _ in range(10)]
+    # Clean, but in a style of its own: a mark on every fourth word.
+    rows += [(" ".join(w + "#" * (i % 4 == 0) for i, w in enumerate(prose(rng, 80).split())), "en", "style", True) for _ in range(60)]
+    docs = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality.judge(docs.repartition(4)).collect()}
+    assert [i for i, r in enumerate(rows) if got[i] != r[3]] == []
+
+
 def test_sketches_merge_in_any_way(spark):
     values = [random.Random(5).randrange(10 ** random.Random(i).randrange(1, 8)) for i in range(300)]
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v long, i int")
