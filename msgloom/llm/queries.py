@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from msgloom.llm import (
+    alignment,
     decontaminate,
+    fingerprints,
     html_text,
     ngram_join,
     packing,
@@ -16,6 +18,7 @@ from msgloom.llm import (
     token_files,
     url_filter,
     warc,
+    whitening,
 )
 from msgloom.llm.common import table
 from msgloom.queries.registry import Query
@@ -88,3 +91,19 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", counted["n_tokens"] > 1024)
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fitted = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitening.components_of(rows, fitted)
+
+
+@query()
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digests(table(spark, sf_dir, "documents"))
