@@ -16,11 +16,12 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 KEPT_PIECES = 400_000
+# Word parts of two generations: what the younger one lacks is taken over from the elder.
+KEPT_PARTS = 350_000
 # A blank beside other white space, at which a split would not be certain.
 UNCERTAIN = re.compile(r"\s | \s")
 CERTAIN = re.compile(r"(?<=\S) (?=\S)")
@@ -28,6 +29,7 @@ CERTAIN = re.compile(r"(?<=\S) (?=\S)")
 # of both vocabularies make of them can be said with their own letters and digits.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 SAFE = re.compile(rf" ?[{LETTERS}0-9!-&(-/:-@\[-`{{-~]+")
+SAFE_TEXT = re.compile(rf"[{LETTERS}0-9 !-&(-/:-@\[-`{{-~]*")
 LOW_PARTS = re.compile(rf"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9 ]+")
 PARTS = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+| ?[^{LETTERS}0-9 ]+")
 # The sign that byte-level vocabularies write for each byte: printable ones stand for
@@ -83,13 +85,15 @@ class Encoder:
 
     def __init__(self, name: str, kind: str = "<u4", counts: bool = False):
         self.name, self.kind, self.counts = name, kind, counts
+        self.code = {"<u2": "H", "<u4": "I"}[kind]
         self.cut, self.kept = cut_kind(name), {}
         self.tok = tokenizer(name)
         self.model, self.word_parts = self.tok.model, {}
         self.parts = (LOW_PARTS if self.cut == "space" else PARTS).findall
+        self.young, self.elder = {}, {}
 
     def _packed(self, ids: list[int]) -> bytes | int:
-        return len(ids) if self.counts else np.array(ids, self.kind).tobytes()
+        return len(ids) if self.counts else array(self.code, ids).tobytes()
 
     def _made(self, pieces: list[str]) -> list:
         """Results of pieces that are not kept: plain ones word part by word part, others whole."""
@@ -132,8 +136,35 @@ class Encoder:
             return piece
         return piece[1:] if piece.startswith("\n") else f" {piece}"
 
+    def _words(self, text: str) -> list[str] | None:
+        """The parts of a text all of whose pieces are plain; None for another."""
+        if self.cut != "space" or "<|" in text:
+            return None
+        flat = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        return LOW_PARTS.findall(flat.lower()) if SAFE_TEXT.fullmatch(flat) else None
+
+    def _joined(self, split: list[list[str]]) -> list:
+        """Results of texts from those of their distinct parts."""
+        if len(self.young) > KEPT_PARTS:
+            self.young, self.elder = {}, self.young
+        known, elder, tokenize = self.young, self.elder.get, self.model.tokenize
+        for part in set().union(*split) - known.keys():
+            found = elder(part)
+            if found is None:
+                signs = part if part.isascii() else "".join(SIGNS[b] for b in part.encode())
+                found = self._packed([t.id for t in tokenize(signs)])
+            known[part] = found
+        get = known.__getitem__
+        return [sum(map(get, p)) if self.counts else b"".join(map(get, p)) for p in split]
+
     def many(self, texts: list[str]) -> list:
         """For each text, its packed ids or their number."""
+        words = [self._words(t) for t in texts]
+        plain = iter(self._joined([w for w in words if w is not None]))
+        others = iter(self._by_piece([t for t, w in zip(texts, words) if w is None]))
+        return [next(others if w is None else plain) for w in words]
+
+    def _by_piece(self, texts: list[str]) -> list:
         split = [self._pieces(t) for t in texts]
         kept = self.kept
         new = list({p for pieces in split for p in pieces if p not in kept})
