@@ -34,6 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer where the frame has columns of those names."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+        taken.add(name.lower())
+    return found
 
 
 def batch_of(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgloom.llm.common import Batches, Rows, text_or_empty
+from msgloom.llm.common import Batches, Rows, text_or_empty, unused
 
 WORD = re.compile(r"\w+")
 K1, B = 1.2, 0.75
@@ -304,7 +304,8 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def without_items(docs: DataFrame, items: DataFrame, **settings: object) -> DataFrame:
     """The rows of ``docs`` that hold no test item."""
     pairs = find_items(docs, items, **settings)
-    gone = pairs.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = F.col(settings.get("id_col", "doc_id")).eqNullSafe(F.col("_id"))
-    same &= F.xxhash64(text_or_empty(settings.get("text_col", "text"))) == F.col("_key")
+    key, text = unused(docs, "_id", "_key")
+    gone = pairs.select(F.col("doc_id").alias(key), F.col("text_key").alias(text)).distinct()
+    same = F.col(settings.get("id_col", "doc_id")).eqNullSafe(F.col(key))
+    same &= F.xxhash64(text_or_empty(settings.get("text_col", "text"))) == F.col(text)
     return docs.join(gone, same, "left_anti")

@@ -18,7 +18,11 @@ from msgloom.llm.common import Batches, Rows
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head script style template noscript title meta link datalist iframe object audio video "
-                   "canvas svg math map".split())
+                   "canvas annotation annotation-xml".split())
+# Parts of a drawing that are not drawn where they stand, or not at all.
+UNDRAWN = frozenset("desc defs metadata symbol".split())
+# Inputs that show no text of their own.
+SILENT_INPUTS = frozenset("hidden password checkbox radio file range color image".split())
 # Blocks with a blank line around them, and blocks that only start a line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu".split())
 BLOCKS = SPACED | frozenset("html body div section article header footer main nav aside address form li dt dd "
@@ -36,7 +40,8 @@ IMPLIED = {
 CLOSES_P = SPACED | frozenset("div section article header footer main nav aside address form center details "
                               "dir search hgroup dialog".split())
 SCOPE = frozenset("td th table caption button object html template".split())
-STYLE_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+STYLE_HIDDEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
 BLANK = re.compile(r"[ \t\n\f\r]+")
 #: Deeper elements are laid out as if at this depth; no text is lost.
 DEEPEST = 150
@@ -115,9 +120,26 @@ def tree(html: str) -> Node:
     builder = Builder()
     builder.feed(html)
     builder.close()
+    conceal(builder.root)
     return builder.root
 
 
+def conceal(root: Node) -> None:
+    """Take out text that is invisible but takes room; elements in it may be visible again."""
+    waiting = [(root, True, False)]
+    while waiting:
+        node, shown, drawing = waiting.pop()
+        found = VISIBILITY.findall(node.attrs.get("style", ""))
+        shown = found[-1].lower() == "visible" if found else shown
+        drawing |= node.tag == "svg"
+        if not shown:
+            node.children = [c for c in node.children if not isinstance(c, str)]
+            node.attrs = node.attrs | {"value": ""}
+        if drawing:
+            node.children = [c for c in node.children if isinstance(c, str) or c.tag not in UNDRAWN]
+        waiting += [(c, shown, drawing) for c in node.children if not isinstance(c, str)]
+
+
 def hidden(node: Node) -> bool:
     attrs = node.attrs
     return (node.tag in HIDDEN or "hidden" in attrs or bool(STYLE_HIDDEN.search(attrs.get("style", "")))
@@ -187,8 +209,7 @@ def lay_out(node: Node, out: Layout, kept: bool) -> None:
         elif child.tag in BLOCKS:
             out.block(block_lines(child, kept), child.tag in SPACED)
         elif child.tag == "input":
-            kind = child.attrs.get("type", "text").lower()
-            if kind in ("submit", "button", "reset", "text"):
+            if child.attrs.get("type", "text").lower() not in SILENT_INPUTS:
                 out.inline(child.attrs.get("value", ""))
         elif child.tag == "q":
             out.inline('"')

@@ -57,8 +57,16 @@ def _quality() -> str:
 {name}_c AS (SELECT *, sum(n) OVER (PARTITION BY {keys}rule ORDER BY bucket) AS upto,
   sum(n) OVER (PARTITION BY {keys}rule) AS whole FROM {name}_s),
 {name} AS (SELECT {keys}rule, max(whole) AS docs, min(bucket) FILTER (upto * 4 >= whole) AS q1,
+  min(bucket) FILTER (upto * 4 >= whole * 2) AS q2,
   min(bucket) FILTER (upto * 4 >= whole * 3) AS q3 FROM {name}_c GROUP BY {keys}rule)"""
 
+    def reach(to: str, start: str) -> str:
+        return f"greatest({quality.REACH} * ({to} - {start}), room)"
+
+    finest = {q: f"CASE WHEN o.docs >= {quality.FEWEST} THEN o.{q} WHEN b.docs >= {quality.FEWEST} THEN b.{q} "
+                 f"ELSE c.{q} END AS {q}" for q in ("q1", "q3")}
+    tongue = ", ".join(f"CASE WHEN b.docs >= {quality.FEWEST} THEN b.{q} END AS b{q}" for q in ("q1", "q2", "q3"))
+
     return rf"""
 WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
     {WORDS.format("coalesce(text, '')")} AS w, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
@@ -76,16 +84,18 @@ counted AS (
   FROM texts t JOIN lines s USING (doc_id) LEFT JOIN covered c USING (doc_id)),
 rates AS ({rows}),{fences("own", "lang, source")},{fences("tongue", "lang")},{fences("whole", "")},
 chosen AS (
-  SELECT r.doc_id, r.bucket, r.two, CASE r.rule {room} END AS room,
-    CASE WHEN o.docs >= {quality.FEWEST} THEN o.q1 WHEN b.docs >= {quality.FEWEST} THEN b.q1 ELSE c.q1 END AS q1,
-    CASE WHEN o.docs >= {quality.FEWEST} THEN o.q3 WHEN b.docs >= {quality.FEWEST} THEN b.q3 ELSE c.q3 END AS q3
+  SELECT r.doc_id, r.bucket, r.two, CASE r.rule {room} END AS room, {finest["q1"]}, {finest["q3"]}, {tongue},
+    CASE WHEN NOT r.two THEN c.q1 END AS cq1, CASE WHEN NOT r.two THEN c.q2 END AS cq2
   FROM rates r LEFT JOIN own o ON o.rule = r.rule AND o.lang IS NOT DISTINCT FROM r.lang
       AND o.source IS NOT DISTINCT FROM r.source
     LEFT JOIN tongue b ON b.rule = r.rule AND b.lang IS NOT DISTINCT FROM r.lang
     LEFT JOIN whole c ON c.rule = r.rule),
 verdicts AS (
-  SELECT doc_id, bool_and(bucket <= q3 + greatest({quality.REACH} * (q3 - q1), room)
-    AND (NOT two OR bucket >= q1 - greatest({quality.REACH} * (q3 - q1), room))) AS inside
+  SELECT doc_id, bool_and(bucket <= q3 + {reach("q3", "q1")}
+    AND coalesce(bucket <= bq2 + {reach("bq2", "bq1")} + room, true)
+    AND coalesce(bucket <= cq2 + {reach("cq2", "cq1")} + room, true)
+    AND (NOT two OR bucket >= q1 - {reach("q3", "q1")}
+      AND coalesce(bucket >= bq2 - {reach("bq3", "bq2")} - room, true))) AS inside
   FROM chosen GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(inside, false) AS kept

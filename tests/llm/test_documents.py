@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import pytest
 
-from msgloom.llm import decontaminate, quality
+from msgloom.llm import decontaminate, quality, sql
 
 
 def plain_counts(text):
@@ -68,6 +69,23 @@ def test_a_source_of_junk_sets_no_fence_of_its_own(spark):
     assert [i for i, r in enumerate(rows) if got[i] != r[3]] == []
 
 
+def test_sql_has_the_bounds_of_the_fences(spark, tmp_path):
+    """On sources of junk, where bounds bind, the query's SQL gives the operator's verdicts."""
+    rng = random.Random(6)
+    spam = lambda: " ".join("###"[: len(w)] + w[3:] for w in prose(rng, 80).split())
+    rows = [(prose(rng, 80), rng.choice(["en", "de"]), f"s{i % 3}") for i in range(200)]
+    rows += [(spam(), "en", "hot") for _ in range(150)] + [(prose(rng, 80), "en", "hot") for _ in range(30)]
+    rows += [(" ".join(w * 4 for w in prose(rng, 60).split()), "de", "long") for _ in range(40)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    got = quality.judge(docs)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({sql.QUALITY})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert 100 < sum(not r[-1] for r in want) < 250
+
+
 def test_sketches_merge_in_any_way(spark):
     values = [random.Random(5).randrange(10 ** random.Random(i).randrange(1, 8)) for i in range(300)]
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v long, i int")

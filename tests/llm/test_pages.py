@@ -162,3 +162,51 @@ def test_sample_has_both_labels(spark):
     assert url_filter.sample_of(known.filter("label = 0"), 20) is None
     judged = verdicts(spark, ["https://n99.example.net/team"], labelled=known, rules=(), fit_rows=20)
     assert judged[0][3] == "allow"
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<p>a<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> b</p>", "ax=2 b"),
+        ("<map><p>mapped</p></map><svg><title>t</title><desc>d</desc><text>lbl</text></svg>", "mapped\n\nlbl"),
+        ("<input type=email value=a@b><input type=search value=q> <input type=number value=3><input type=password value=p>", "a@bq 3"),
+        ('<div style="visibility:hidden">no<span style="visibility:visible">yes</span>no</div>', "yes"),
+        ('<div style="color:red; Visibility : HIDDEN">no<b>no</b></div>on', "on"),
+        ('<div style="display:none">no<span style="display:block">no</span></div>on', "on"),
+    ],
+)
+def test_all_visible_text(html, want):
+    assert html_text.page_text(html) == want
+
+
+def test_visible_words_against_a_walk_over_the_tree():
+    """Each word of a random page comes out once if no element around it hides it, else not."""
+    rng = random.Random(12)
+    plain = ["b", "div", "ul", "section", "svg", "math", "map", "q", "h2", "span"]  # none closes another
+
+    def element(depth, shown, drawn):
+        out, words = "", []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if depth > 5 or kind < 0.4:
+                word = f"w{rng.randrange(10**9)}"
+                out += f" {word} "
+                words += [word] if shown and drawn else []
+                continue
+            style, sees, draws = "", shown, drawn
+            if kind < 0.5:
+                style, sees = rng.choice([(' style="visibility:hidden"', False), (' style="visibility:visible"', True)])
+            elif kind < 0.55:
+                style, draws = rng.choice([' style="display: none"', " hidden"]), False
+            tag = rng.choice(plain if style else [*plain, "script", "div"])
+            if tag == "script":
+                out += f"<script>s{rng.randrange(10**9)}</script>"
+                continue
+            inner, found = element(depth + 1, sees, draws)
+            out, words = out + f"<{tag}{style}>{inner}</{tag}>", words + found
+        return out, words
+
+    for _ in range(200):
+        html, words = element(0, True, True)
+        got = [w for w in html_text.page_text(html).replace('"', " ").split() if w[0] in "ws"]
+        assert sorted(got) == sorted(words), html
