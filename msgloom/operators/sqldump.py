@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from msgloom.operators.shape import compute_once
 
 # One value after its comma: a quoted text with '' or backslash escapes, or a bare word.
 # Possessive loops: a text of any length is matched without backtracking or recursion.
-TUPLE_VALUE = r",(\s*+'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'\s*+|[^',]*+)(?=,|$)"
+TUPLE_VALUE = r"(?s),(\s*+'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'\s*+|[^',]*+)(?=,|$)"
 HEADER_LINE = r"^\(\s*`[^`]+`\s*(?:,\s*`[^`]+`\s*)*\)?[,;]?$"
 # A whole tuple of such values, and a line of one or more with an optional end.
 _VALUE = r"(?:\s*+(?:'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'|[^',()]*+)\s*+)"
@@ -42,11 +44,6 @@ def _literals(line: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(TUPLE_VALUE), F.lit(1))
 
 
-def well_formed(line: Column, literals: Column) -> Column:
-    """Whether the values found make up the whole line, so that none was missed."""
-    return F.array_join(literals, ",") == tuple_body(line)
-
-
 def _plain_value(literal: Column) -> Column:
     text = F.trim(literal)
     inner = F.replace(
@@ -85,38 +82,72 @@ def tuple_header(lines: DataFrame, line: str = "value") -> list[str] | None:
     return list(found[0]["names"]) if found else None
 
 
-def parse_tuples(
-    lines: DataFrame, columns: list[str], line: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """Data rows with named text columns, and what does not fit, with a reason.
+def read_tuples(
+    lines: DataFrame,
+    columns: list[str],
+    line: str = "value",
+    keep: Sequence[str] = (),
+    aside: Column | None = None,
+) -> DataFrame:
+    """One row per tuple or line that holds none: line, literals and reason (null if it fits).
 
-    A line holds one tuple or several, with or without a statement before them and a comma
-    or semicolon after. Blank lines, headers, statement heads and comments hold no data;
-    every other line goes to the rows or to the rejects. A tuple fits when there is a value
-    for every column; each one that does not fit is a reject of its own.
+    A record over several lines that is no list of tuples, as behind a stray quote, is taken
+    line by line. Rows that ``aside`` marks come out as they are, without literals or reason.
+    Columns in ``keep`` stay.
     """
-    text = clean_line(F.col(line))
-    no_data = (text == "") | header_predicate(text) | text.rlike(NO_DATA)
-    data = lines.filter(F.coalesce(~no_data, F.lit(False))).select(F.col(line).alias("line"))
-    body = F.regexp_replace(clean_line(F.col("line")), STATEMENT, "")
-    readable = body.rlike(TUPLE_LINE)
+    aside = F.lit(False) if aside is None else aside
+    value = F.col(line)
+
+    def holds_no_data(text: Column) -> Column:
+        return (text == "") | header_predicate(text) | text.rlike(NO_DATA)
+
+    def tuples_of(text: Column) -> Column:
+        return F.regexp_replace(clean_line(text), STATEMENT, "")
+
+    torn = value.contains("\n") & ~holds_no_data(clean_line(value)) & ~tuples_of(value).rlike(TUPLE_LINE)
+    single = F.explode(F.when(~aside & torn, F.split(line, "\n")).otherwise(F.array(value)))
+    apart = lines.select(*keep, aside.alias("_aside"), single.alias("line"))
+    data = apart.filter(F.col("_aside") | F.coalesce(~holds_no_data(clean_line(F.col("line"))), F.lit(False)))
+    body = tuples_of(F.col("line"))
+    readable = ~F.col("_aside") & body.rlike(TUPLE_LINE)
     tuples = F.when(readable, F.regexp_extract_all(body, F.lit(f"({TUPLE})"), F.lit(1))).otherwise(
         F.array(F.lit(None).cast("string"))
     )
-    one = data.select("line", F.explode(tuples).alias("_tuple"), (F.size(tuples) == 1).alias("_alone"))
+    one = data.select(
+        *keep, "_aside", "line", F.explode(tuples).alias("_tuple"), (F.size(tuples) == 1).alias("_alone")
+    )
     inner = F.substr(F.col("_tuple"), F.lit(2), F.length("_tuple") - 2)
     found = F.regexp_extract_all(F.concat(F.lit(","), inner), F.lit(TUPLE_VALUE), F.lit(1))
-    read = compute_once(one, "_literals", found)
-    fits = F.col("_tuple").isNotNull() & (F.size("_literals") == len(columns))
-    good = read.filter(fits).select(
-        *[_plain_value(F.get("_literals", F.lit(i))).alias(c) for i, c in enumerate(columns)]
-    )
-    count = F.size("_literals").cast("string")
+    read = compute_once(one, "literals", found)
+    fits = F.col("_tuple").isNotNull() & (F.size("literals") == len(columns))
+    count = F.size("literals").cast("string")
     reason = (
-        F.when(F.col("_tuple").isNotNull(), F.concat(count, F.lit(f" values for {len(columns)} columns")))
+        F.when(F.col("_aside") | fits, F.lit(None).cast("string"))
+        .when(F.col("_tuple").isNotNull(), F.concat(count, F.lit(f" values for {len(columns)} columns")))
         .when(clean_line(F.col("line")).startswith("("), F.lit("unreadable value"))
         .otherwise(F.lit("no tuple"))
     )
     part = F.when(F.col("_alone"), F.col("line")).otherwise(F.col("_tuple"))
-    bad = read.filter(~fits).select(part.alias("line"), reason.alias("reason"))
-    return good, bad
+    return read.select(*keep, part.alias("line"), "literals", reason.alias("reason"))
+
+
+def rows_and_rejects(read: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Data rows with named text columns, and the rejects, of what ``read_tuples`` gave."""
+    fits = F.col("reason").isNull() & F.col("literals").isNotNull()
+    good = read.filter(fits).select(
+        *[_plain_value(F.get("literals", F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    )
+    return good, read.filter(F.col("reason").isNotNull()).select("line", "reason")
+
+
+def parse_tuples(
+    lines: DataFrame, columns: list[str], line: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """Data rows with named text columns, and what does not fit, with a reason.
+
+    A line holds one tuple or several, with or without a statement before them and a comma
+    or semicolon after. Blank lines, headers, statement heads and comments hold no data;
+    every other line goes to the rows or to the rejects. A tuple fits when there is a value
+    for every column; each one that does not fit is a reject of its own.
+    """
+    return rows_and_rejects(read_tuples(lines, columns, line), columns)

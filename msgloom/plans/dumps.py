@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from msgloom.functions.text import clean_line
 from msgloom.operators import aggregate, sqldump
 from msgloom.operators.classify import sql_tuple_predicate
+from msgloom.session import shared_dir
 from msgloom.sinks import writers
+from msgloom.sources import dump_text
 from msgloom.sources.readers import read_sql_dump
 
 
@@ -23,17 +25,32 @@ def clean_dump(
     as_of: dt.datetime,
     columns: list[str] | None = None,
 ) -> dict:
-    """Dump rows as CSV with the dump's own header; lines that do not fit go to ``rejected``."""
-    lines = read_sql_dump(spark, source)
-    columns = columns or sqldump.tuple_header(lines)
+    """Dump rows as CSV with the dump's own header; lines that do not fit go to ``rejected``.
+
+    Quoted values may reach over lines. The dump is parsed once, into a work folder that both
+    outputs are written from; it is removed in the end.
+    """
+    columns = columns or sqldump.tuple_header(read_sql_dump(spark, source))
     if not columns:
         raise ValueError(f"no header line in {source}, and no columns given")
     run_id = f"dump-{as_of:%Y%m%dT%H%M%S}"
-    good, bad = sqldump.parse_tuples(lines, columns)
-    good, kept = aggregate.row_counts(good, f"{run_id}-good")
-    bad, left = aggregate.row_counts(bad, f"{run_id}-bad")
-    writers.write_csv(good, target)
-    writers.write_csv(bad, rejected)
+    work = shared_dir(spark, "dump-text")
+    try:
+        place = ("file", "block", "kind")
+        pieces = dump_text.read_pieces(spark, source)
+        in_part = F.col("kind") != dump_text.WHOLE
+        sqldump.read_tuples(pieces, columns, "value", place, in_part).write.parquet(work)
+        read = spark.read.parquet(work)
+        parts = read.filter(in_part).withColumnRenamed("line", "value")
+        over_blocks = sqldump.read_tuples(dump_text.joined_pieces(parts), columns)
+        read = read.filter(~in_part).drop(*place).unionByName(over_blocks)
+        good, bad = sqldump.rows_and_rejects(read, columns)
+        good, kept = aggregate.row_counts(good, f"{run_id}-good")
+        bad, left = aggregate.row_counts(bad, f"{run_id}-bad")
+        writers.write_csv(good, target)
+        writers.write_csv(bad, rejected)
+    finally:
+        writers.remove_folder(spark, work)
     metrics = {
         "rows": aggregate.observed(kept).get("rows", 0),
         "rejected": aggregate.observed(left).get("rows", 0),

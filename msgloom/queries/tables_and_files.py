@@ -382,6 +382,26 @@ def dump_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.recombine(*found).filter(~F.col("line").isin(headers))
 
 
+@query(f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS ticket, strftime(o_orderdate, '%Y-%m-%d') AS opened,
+  o_orderstatus AS state, CASE WHEN o_orderkey % 3 = 0 THEN 'first' || chr(10) || chr(10) || '(2,''x''),' || chr(10)
+    || '-- ' || repeat('long ', o_orderkey % 700) || chr(10) ELSE {_NOTE_SQL} END AS note,
+  CAST(-o_custkey AS VARCHAR) AS account
+FROM orders
+""")
+def dump_values_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of several lines, blank ones and what looks like a row among them, read back from CSV."""
+    base, key = shared_dir(spark, "dump-lines"), F.regexp_extract("value", r"(\d+)", 1).cast("int")
+    long = F.concat(F.lit("first\n\n(2,''x''),\n-- "), F.repeat(F.lit("long "), key % 700), F.lit("\n"))
+    note = F.concat(F.regexp_extract("value", "^([^']*'[^']*','[^']*',)", 1), F.lit("'"), long, F.lit("',"),
+                    F.regexp_extract("value", r"(-?\d+\)[,;])$", 1))
+    lines = dump_lines(spark, sf_dir).select(F.when(key % 3 == 0, note).otherwise(F.col("value")).alias("value"))
+    writers.write_lines(lines, f"{base}/in")
+    dumps.clean_dump(spark, f"{base}/in", f"{base}/csv", f"{base}/bad", f"{base}/log", WHEN, DUMP_COLUMNS)
+    found = spark.read.options(header=True, multiLine=True, escape='"').csv(f"{base}/csv")
+    return found.fillna("")
+
+
 _MIXED = """
 SELECT CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey || ',' || o_orderstatus || ',it''s'
             ELSE o_orderkey || ',' || o_orderstatus || ',NULL' END AS value,

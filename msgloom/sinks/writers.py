@@ -94,9 +94,11 @@ def write_ndjson(
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     """CSV with a header; texts that hold a comma, quote or line break are quoted.
 
-    Empty texts and nulls are both written as nothing between the commas.
+    Empty texts and nulls are both written as nothing between the commas; blanks at the ends
+    of a text stay.
     """
-    options = {"header": header, "escape": '"', "emptyValue": ""}
+    options = {"header": header, "escape": '"', "emptyValue": "",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.mode("overwrite").options(**options).csv(path)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import random
 import uuid
 from types import SimpleNamespace
 
@@ -19,7 +20,7 @@ from msgloom.operators import rows as rows_of_pages
 from msgloom.plans import dumps, events, landing, leads, notifications, pages, replies
 from msgloom.schemas import LEAD, MESSAGE_EVENT, NOTIFICATION, UNIFIED, WEBHOOK
 from msgloom.sinks import writers
-from msgloom.sources import readers
+from msgloom.sources import dump_text, readers
 from msgloom.streaming import streams
 
 WHEN = dt.datetime(2025, 12, 1, 6)
@@ -630,3 +631,58 @@ def test_two_outputs_of_a_repeated_batch_hold_each_row_once(spark, tmp_path):
         streams.write_two(requests, targets, str(tmp_path / attempt))
     for target in targets:
         assert spark.read.parquet(target).count() == 1
+
+
+def dump_of(seed):
+    """Records of a dump whose quoted values hold anything, comments among them."""
+    rnd = random.Random(seed)
+    signs = ["a", "''", "\\'", "\n", "\\\n", "x y", "-- z", "/*", "*/", "\\\\", "\r\n", "(", ","]
+    found = []
+    for i in range(90):
+        text = "".join(rnd.choices(signs, k=400 if i % 40 == 0 else rnd.choice([3, 8, 60])))
+        kinds = [f"({i},'{text}',NULL),"] * 8 + ["-- it's a comment", "/* a comment's\n 'second line */;"]
+        found.append(rnd.choice(kinds))
+    return found
+
+
+@pytest.mark.parametrize("size", ["61", "4096", "10000000"])
+def test_dump_records_over_lines_and_blocks(spark, tmp_path, size):
+    """Values of many lines, over many blocks of a few bytes, come out whole and once."""
+    want = []
+    for seed in range(3):
+        records = dump_of(seed)
+        (tmp_path / f"{seed}.sql").write_bytes(("\n".join(records) + "\n").encode())
+        want += records
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = dump_text.read_dump_records(spark, str(tmp_path))
+        assert sorted(r.value for r in got.collect()) == sorted(want)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("size", ["40", "10000000"])
+def test_dump_with_a_stray_quote(spark, tmp_path, size):
+    """What follows a quote that is never closed is read line by line, and nothing is lost."""
+    source = "(1,'a'),\n(2,'it's'),\n" + "".join(f"({i},'b{i}'),\n" for i in range(3, 30)) + "(30,'x\ny');\n"
+    (tmp_path / "dump.sql").write_text(source)
+    paths = [str(tmp_path / n) for n in ("csv", "bad", "log")]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        metrics = dumps.clean_dump(spark, str(tmp_path / "dump.sql"), *paths, WHEN, ["n", "t"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    rows = {r.n for r in spark.read.csv(paths[0], header=True, multiLine=True).collect()}
+    bad = {r.line for r in spark.read.csv(paths[1], header=True, multiLine=True).collect()}
+    assert {str(i) for i in (1, *range(3, 30))} <= rows and "(2,'it's')," in bad
+    assert metrics["rows"] + metrics["rejected"] >= 30
+
+
+def test_dump_without_lines(spark, tmp_path):
+    (tmp_path / "none.sql").write_text("")
+    assert dump_text.read_dump_records(spark, str(tmp_path / "none.sql")).count() == 0
