@@ -115,7 +115,7 @@ def run(
     With a ``key``, rows at the very position, rows up to ``overlap`` before it and rows
     without a time are looked up by it among those landed already, so that late ones are
     not lost and none comes twice; without it only later rows land, and the metrics count
-    the rows without a time. The files go to a folder of the run and replace it: a run that
+    the rows at the position, before it and without a time. The files go to a folder of the run and replace it: a run that
     failed before its log row is simply repeated. Without new records the position stays.
     """
     run_id = f"{job}-{as_of:%Y%m%dT%H%M%S}"
@@ -126,18 +126,24 @@ def run(
             new = _not_landed(spark, records, ts, cursor, landing, key, overlap, run_id)
         else:
             new = readers.read_since_cursor(records, ts, cursor) if cursor else records.dropna(subset=[ts])
-            metrics["without_time"] = records.filter(F.col(ts).isNull()).count()
+            left = readers.left_by_cursor(records, ts, cursor).first()
+            metrics.update({name: left[name] for name in left.asDict()})
         days = date_parts(F.col(ts))
         seen = Observation(run_id)
-        position = F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("position")
+        # Moments are compared, as a position may be written in several ways; late rows do not
+        # set it back.
+        newest = F.max(F.col(ts).cast("timestamp"))
+        if cursor:
+            newest = F.greatest(newest, F.lit(cursor).cast("timestamp"))
+        position = F.date_format(newest, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("position")
         out = new.withColumns({"run": F.lit(run_id), **days}).observe(
             seen, F.count(F.lit(1)).alias("rows"), position
         )
         writers.write_ndjson(out, landing, max_records, ["run", *days])
         found = aggregate.observed(seen)
         total = metrics["records"] = found.get("rows", 0)
-        end = found.get("position") or cursor
-        end = max(end, cursor) if end and cursor else end  # late rows do not set it back
+        end = found.get("position") if total else cursor
+        end = end or cursor
     except Exception as error:
         writers.write_run_log(
             spark, run_log, run_id, job, as_of, start_cursor=cursor, error=str(error)

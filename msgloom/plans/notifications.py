@@ -7,6 +7,7 @@ writes each layer once and reads the next one from it.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -27,7 +28,6 @@ from msgloom.functions.text import (
 from msgloom.functions.times import When, epoch_to_ts, event_date, moment, run_dates
 from msgloom.operators import aggregate, classify, dedup, shape
 from msgloom.schemas import NOTIFICATION, OPTIMIZED_CAMPAIGN, UNIFIED
-from msgloom.session import shared_dir
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
@@ -223,8 +223,10 @@ def merge_current(spark: SparkSession, table: str, new: DataFrame, partitions: l
     """Put the current rows of some campaigns into the table, in place of their older ones.
 
     Only the partitions that hold old or new rows of these campaigns are written, from a
-    copy in the shared folder, as the table is read for it.
+    copy beside the table, as the table is read for it. The copy stays until all are replaced,
+    and ``finish_merges`` takes up one that a failure has left.
     """
+    finish_merges(spark, table, partitions)
     campaign = F.coalesce("campaign_id", "source_id")
     held = spark.table(table)
     keys = new.select(campaign.alias("_campaign")).distinct()
@@ -235,18 +237,54 @@ def merge_current(spark: SparkSession, table: str, new: DataFrame, partitions: l
     touched = held.filter(F.col(partitions[-1]).isin([p[-1] for p in present]))
     kept = touched.withColumn("_campaign", campaign).join(keys, "_campaign", "left_anti")
     merged = kept.drop("_campaign").unionByName(new.select(*held.columns))
-    copy = shared_dir(spark, "merged")
-    merged.write.parquet(copy)
-    ready = spark.read.schema(merged.schema).parquet(copy).select(*held.columns)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
-    path = location["data_type"]
+    copy = f"{_merges(spark, table)}/{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(f"{copy}/rows")
+    # Written last: a copy that has this list is whole.
+    kinds = T.StructType([T.StructField(p, held.schema[p].dataType) for p in partitions])
+    spark.createDataFrame(present, kinds).coalesce(1).write.parquet(f"{copy}/present")
+    _finish_merge(spark, table, copy, partitions)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def _merges(spark: SparkSession, table: str) -> str:
+    """The folder of the table's merges that are on their way, beside its own."""
+    return f"{_location(spark, table).rstrip('/')}-merges"
+
+
+def _finish_merge(spark: SparkSession, table: str, copy: str, partitions: list[str]) -> None:
+    """Replace the touched partitions by those of the copy; may be done again at any point."""
+    held = spark.table(table)
+    rows = spark.read.schema(held.schema).parquet(f"{copy}/rows").select(*held.columns)
+    present = [tuple(row) for row in spark.read.parquet(f"{copy}/present").select(*partitions).collect()]
     writers.replace_partitions(
-        writers.compact(ready, *partitions), path, partitions, present, f"merge-{copy[-12:]}"
+        writers.compact(rows, *partitions), _location(spark, table), partitions, present, f"merge-{copy[-12:]}"
     )
-    writers.remove_folder(spark, copy)
     # The catalog lists the partitions: new ones are entered, removed ones struck out.
     spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
+    writers.remove_folder(spark, copy)
+
+
+def finish_merges(spark: SparkSession, table: str, partitions: list[str]) -> int:
+    """Finish what a failed run has left: whole copies are put in place, others removed.
+
+    A merge that failed while it replaced folders has its rows in its copy, those of other
+    campaigns included, so that putting them in place once more loses nothing.
+    """
+    if not spark.catalog.tableExists(table):
+        return 0
+    done = 0
+    for copy in writers.folders_in(spark, _merges(spark, table)):
+        if writers.is_written(spark, f"{copy}/present"):
+            _finish_merge(spark, table, copy, partitions)
+            done += 1
+        else:
+            writers.remove_folder(spark, copy)
+    return done
 
 
 def run(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgloom.functions.text import cell
-from msgloom.operators import classify, rows
+from msgloom.operators import classify, grid, rows
 from msgloom.sinks import writers
 
 # Positions of the cells in a row, from 0.
@@ -19,6 +19,9 @@ LISTING_CLASS = "DisplayRegRow"
 
 
 def _found(pages: DataFrame, row_class: str | None, **patterns: str) -> DataFrame:
+    """Table rows by a fold over the tags, or by patterns where the markup is another."""
+    if not patterns:
+        return grid.grid_rows(pages, row_class=row_class, keep=["page_id"])
     if row_class:
         patterns = {"row_pattern": rows.row_of_class(row_class), **patterns}
     return rows.extract_html_rows(pages, keep=["page_id"], **patterns)

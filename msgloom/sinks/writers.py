@@ -66,6 +66,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below a folder, oldest name first; none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(str(s.getPath().toString()) for s in system.listStatus(folder) if s.isDirectory())
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has ended."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 def append_unified(df: DataFrame, path: str) -> None:
     """Add rows to the unpartitioned unified layer."""
     df.write.mode("append").parquet(path)

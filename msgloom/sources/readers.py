@@ -201,8 +201,35 @@ def read_since_cursor(
     return df.filter(F.col(ts) > cursor.cast(df.schema[ts].dataType))
 
 
+def left_by_cursor(df: DataFrame, ts: str, cursor: str | None) -> DataFrame:
+    """One row: how many rows ``read_since_cursor`` leaves out, at the position, before it, without a time."""
+    at = F.lit(cursor).cast(df.schema[ts].dataType)
+    return df.agg(
+        F.count_if(F.col(ts) == at).alias("at_position"),
+        F.count_if(F.col(ts) < at).alias("before_position"),
+        F.count_if(F.col(ts).isNull()).alias("without_time"),
+    )
+
+
+def daily_snapshots(
+    spark: SparkSession, path: str, schema: T.StructType, key: str = "id"
+) -> DataFrame:
+    """All days' full lists with their ``snapshot_day``, each id once a day (from the newest file)."""
+    day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+    files = ("file_modification_time", "file_name")
+    found = read_ndjson(spark, path, schema, by_day=True).select(
+        "*", day.alias("snapshot_day"), *[F.col(f"_metadata.{name}").alias(f"_{name}") for name in files]
+    )
+    order = [*[F.desc(f"_{name}") for name in files], F.xxhash64(*schema.fieldNames())]
+    once = keep_first(found, ["snapshot_day", key], order)
+    return once.drop("year", "month", "day", *[f"_{name}" for name in files])
+
+
 def read_sql_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of dump text, blank ones left out. Spark splits big files by line."""
+    """Lines of dump text, blank ones left out. Spark splits big files by line.
+
+    ``dump_text.read_dump_records`` joins the lines of one quoted value.
+    """
     return spark.read.text(path).filter(F.btrim("value", F.lit(" \t\r\n\f\v")) != "")
 
 
