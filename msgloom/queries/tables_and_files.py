@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from msgloom import config
 from msgloom.functions import numbers
 from msgloom.functions import text as X
-from msgloom.operators import aggregate, classify, dedup, joins, rows, shape, sqldump
+from msgloom.operators import aggregate, asof, classify, dedup, joins, rows, shape, sqldump
 from msgloom.plans import dumps, landing, pages
 from msgloom.plans.notifications import existing_layer
 from msgloom.queries.registry import query
@@ -575,6 +575,34 @@ def metric_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("id", F.col("attributes.name").alias("name"))
 
 
+@query("""
+SELECT event_id, CASE
+  WHEN CAST(ts AS DATE) < DATE '2024-01-01' THEN NULL
+  WHEN CAST(ts AS DATE) < DATE '2024-01-10' THEN s_name || '-1'
+  WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN s_name || '-3'
+  WHEN s_suppkey % 5 = 0 THEN NULL
+  WHEN s_suppkey % 2 = 0 THEN s_name || '-1' ELSE s_name || '-2' END AS name
+FROM events LEFT JOIN supplier ON s_suppkey = event_id % 50 + 1
+""")
+def decode_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the names that three daily lists give them: some renamed, some left out for a while."""
+    path, n = shared_dir(spark, "metrics-by-day"), F.col("s_suppkey")
+    supplier = table(spark, sf_dir, "supplier")
+    marks = {"01": F.lit("1"), "10": F.when(n % 5 != 0, F.when(n % 2 == 0, "1").otherwise("2")), "20": F.lit("3")}
+    for day, mark in marks.items():
+        supplier.filter(mark.isNotNull()).select(
+            F.lit("metric").alias("type"),
+            n.cast("string").alias("id"),
+            F.struct(F.concat("s_name", F.lit("-"), mark).alias("name")).alias("attributes"),
+            F.lit(2024).alias("year"), F.lit("01").alias("month"), F.lit(day).alias("day"),
+        ).write.mode("append").partitionBy("year", "month", "day").json(path)
+    lists = readers.daily_snapshots(spark, path, METRIC).select("id", "snapshot_day", "attributes.name")
+    intervals = asof.validity_intervals(lists, "id", "snapshot_day", ["name"])
+    code = (F.col("event_id") % 50 + 1).cast("string").alias("code")
+    events = table(spark, sf_dir, "events").select("event_id", utc(F.col("ts")).alias("ts"), code)
+    return asof.decode_as_of(events, intervals, "code", "ts", {"name": "name"}).select("event_id", "name")
+
+
 @query("""
 WITH cut AS (SELECT max(ts) AS ts FROM events WHERE ts < TIMESTAMP '2024-01-16'),
 late AS (SELECT event_id, ts >= TIMESTAMP '2024-01-16' OR event_id % 3 = 0 AND ts = (SELECT ts FROM cut)
