@@ -127,7 +127,8 @@ def run(
         else:
             new = readers.read_since_cursor(records, ts, cursor) if cursor else records.dropna(subset=[ts])
             left = readers.left_by_cursor(records, ts, cursor).first()
-            metrics.update({name: left[name] for name in left.asDict()})
+            counted = ("at_position", "before_position", "without_time") if cursor else ("without_time",)
+            metrics.update({name: left[name] for name in counted})
         days = date_parts(F.col(ts))
         seen = Observation(run_id)
         # Moments are compared, as a position may be written in several ways; late rows do not
