@@ -10,47 +10,40 @@ from pyspark.sql import types as T
 
 from msgloom import config
 from msgloom.functions.times import When, date_parts, moment
-from msgloom.operators import aggregate, dedup
+from msgloom.operators import aggregate, dedup, numbering
 from msgloom.plans.notifications import existing_layer
+from msgloom.session import shared_dir
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
 
 def envelopes(
-    records: DataFrame,
-    per_document: int,
-    order: list[str],
-    source: str,
-    as_of: When,
+    records: DataFrame, per_document: int, source: str, as_of: When, order: list[str] | None = None
 ) -> DataFrame:
-    """Records packed into JSON documents of at most ``per_document`` each.
+    """Records packed into JSON documents of ``per_document`` each, the last one of the rest.
 
-    Records are put in order by ranges, and each range is cut into pieces by the position
-    within it: no task numbers all rows, and no group is larger than one document. The
-    batch number therefore counts the documents of one range. The order must tell records
-    apart (equal ones aside), so that a task run again cuts its range in the same places.
+    Batch numbers run from 1 through the whole run without gaps. Records stay in the order in
+    which they come, or are put in the given order by ranges. They are written once with their
+    places, so that numbers hold for tasks that run again, and shuffled once, by document. No
+    task numbers all rows, and no group is larger than one document.
     """
-    ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
-    # The upper bits of this id are the partition, the lower 33 the row within it.
-    place = F.monotonically_increasing_id()
-    part = F.shiftright(place, 33).alias("_part")
-    row = place.bitwiseAND(F.lit((1 << 33) - 1))
-    piece = F.floor(row / per_document).alias("_piece")
+    if order:
+        records = records.repartitionByRange(*order).sortWithinPartitions(*order)
     fields = F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("_record")
+    placed = numbering.numbered(records.select(fields), shared_dir(records.sparkSession, "places"), "_number")
+    document = (F.floor((F.col("_number") - 1) / per_document) + 1).cast("int").alias("_document")
+    held = placed.groupBy(document).agg(F.collect_list(F.struct("_number", "_record")).alias("_held"))
+    # Maps have no order, so that records are put in order by their numbers only.
+    data = F.array_sort("_held", lambda a, b: (a["_number"] - b["_number"]).cast("int"))
     stamp = F.date_format(moment(as_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return (
-        ranged.select(part, piece, fields)
-        .groupBy("_part", "_piece")
-        .agg(F.collect_list("_record").alias("data"))
-        .select(
-            F.struct(
-                (F.col("_piece") + 1).cast("int").alias("batch_number"),
-                F.size("data").alias("record_count"),
-                stamp.alias("ingestion_timestamp"),
-                F.lit(source).alias("source"),
-            ).alias("metadata"),
-            "data",
-        )
+    return held.select(
+        F.struct(
+            F.col("_document").alias("batch_number"),
+            F.size("_held").alias("record_count"),
+            stamp.alias("ingestion_timestamp"),
+            F.lit(source).alias("source"),
+        ).alias("metadata"),
+        F.transform(data, lambda pair: pair["_record"]).alias("data"),
     )
 
 

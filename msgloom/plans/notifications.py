@@ -11,7 +11,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,10 +69,46 @@ def to_raw(
     return shape.fix_void_columns(raw)
 
 
+def _newest() -> list[Column]:
+    """Order of the versions of a notification; those that tie in it have equal figures."""
+    newest = [F.desc(c) for c in ("file_processed_at", "completed_at", "queued_at", *COUNTERS)]
+    return [*newest, F.asc("eventtype")]
+
+
+def _counts() -> dict[str, Column]:
+    return {
+        "sends": counter(F.col("successful"), F.col("failed"), F.col("errored")),
+        "delivered": counter(F.col("successful")),
+        "failed_count": counter(F.col("failed")),
+        "rejected": counter(F.col("errored")),
+        "total_failed": counter(F.col("failed"), F.col("errored")),
+        "clicks": counter(F.col("converted")),
+    }
+
+
+def _rates() -> dict[str, Column]:
+    return {
+        "success_rate": pct(F.col("delivered"), F.col("sends")),
+        "click_through_rate": pct(F.col("clicks"), F.col("delivered")),
+    }
+
+
+def channel_figures(raw: DataFrame) -> DataFrame:
+    """Counts and rates of each notification and run day, as in the optimized layer.
+
+    For summaries: ids made of the whole record and all texts are left out, so the scan and the
+    shuffle hold the few columns that the figures need. Versions that tie in these have equal
+    figures, so that it does not matter which of them stays.
+    """
+    once = dedup.dedup_by_key(raw, ["processing_date", "id"], _newest())
+    named = {"campaign_id": F.col("id"), "send_date": F.col("event_date"), "message_type": F.col("eventtype")}
+    figures = once.withColumns({**_counts(), **named}).withColumns(_rates())
+    return figures.select("processing_date", *named, *_counts(), *_rates())
+
+
 def to_optimized(raw: DataFrame, as_of: When, batch_id: int) -> DataFrame:
     """One row per notification and run day with the campaign figures, 39 columns."""
-    newest = [F.desc(c) for c in ("file_processed_at", "completed_at", "queued_at", *COUNTERS)]
-    once = dedup.dedup_by_key(raw, ["processing_date", "id"], [*newest, "record_id"])
+    once = dedup.dedup_by_key(raw, ["processing_date", "id"], [*_newest(), "record_id"])
     own = shape.drop_and_restamp(
         once, as_of, "opt_id", ["id", "raw_record_id"], {"record_id": "raw_record_id"}
     )
@@ -80,12 +116,7 @@ def to_optimized(raw: DataFrame, as_of: When, batch_id: int) -> DataFrame:
     figures = own.withColumns(
         {
             "batch_id": F.lit(batch_id),
-            "sends": counter(F.col("successful"), F.col("failed"), F.col("errored")),
-            "delivered": counter(F.col("successful")),
-            "failed_count": counter(F.col("failed")),
-            "rejected": counter(F.col("errored")),
-            "total_failed": counter(F.col("failed"), F.col("errored")),
-            "clicks": counter(F.col("converted")),
+            **_counts(),
             "campaign_id": F.col("id"),
             "campaign_name": first_non_null(F.col("name"), F.lit(config.DEFAULT_CAMPAIGN)),
             "audience_segments": join_or_default(
@@ -111,8 +142,7 @@ def to_optimized(raw: DataFrame, as_of: When, batch_id: int) -> DataFrame:
     ).withColumns(
         {
             "recipient_count": F.col("sends"),
-            "success_rate": pct(F.col("delivered"), F.col("sends")),
-            "click_through_rate": pct(F.col("clicks"), F.col("delivered")),
+            **_rates(),
             "links_shortened": classify.link_shortened(F.col("primary_link")),
             "sms_metrics": F.when(
                 channel == "SMS",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgloom.config import Lineage
-from msgloom.operators import aggregate, rows, shape
+from msgloom.operators import aggregate, rollup, rows, shape
 from msgloom.plans import landing
 from msgloom.plans import notifications as job
 from msgloom.queries.registry import query
@@ -59,7 +59,51 @@ SELECT message_type, CAST(sum(sends) AS BIGINT) AS total_sends,
 FROM campaigns GROUP BY message_type
 """)
 def channel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.channel_summary(_optimized(spark, sf_dir))
+    raw = job.to_raw(notifications(spark, sf_dir), LINEAGE, AS_OF, 1)
+    return aggregate.channel_summary(job.channel_figures(raw))
+
+
+_FIRST_DAY, _LAST_DAY = "2024-01-05", "2024-01-20"
+
+
+@query(f"""
+WITH {NOTIFICATION_CTES}
+SELECT message_type, count(*) AS rows, CAST(sum(sends) AS BIGINT) AS total_sends,
+  CAST(sum(delivered) AS BIGINT) AS total_delivered, CAST(sum(clicks) AS BIGINT) AS total_clicks,
+  CAST(sum(CAST(success_rate AS DECIMAL(38, 8))) AS DOUBLE) / count(*) AS avg_success_rate,
+  true AS reach_within_bound, true AS median_within_bound
+FROM campaigns WHERE send_date BETWEEN DATE '{_FIRST_DAY}' AND DATE '{_LAST_DAY}'
+GROUP BY message_type
+""")
+def channel_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of days out of stored day parts; sketches are held against a full count.
+
+    The days from the middle of the range on are rolled up twice, which adds nothing.
+    """
+    figures = job.channel_figures(job.to_raw(notifications(spark, sf_dir), LINEAGE, AS_OF, 1))
+    path = shared_dir(spark, "rollup")
+    by, sums = ["message_type"], ["sends", "delivered", "clicks"]
+    parts = rollup.day_parts(
+        figures, "send_date", by, sums, ["success_rate"], distinct="campaign_id", spread="sends"
+    )
+    rollup.write_parts(parts, path, "send_date")
+    rollup.write_parts(parts.filter("send_date >= '2024-01-12'"), path, "send_date")
+    held = rollup.read_parts(spark, path, "send_date", _FIRST_DAY, _LAST_DAY)
+    merged = rollup.merge_parts(held, by, [0.5])
+    bounds = merged.select("message_type", "distinct", "q50")
+    days = figures.filter(F.col("send_date").between(_FIRST_DAY, _LAST_DAY))
+    exact = (
+        days.join(bounds, "message_type")
+        .groupBy("message_type")
+        .agg(
+            (F.abs(F.max("distinct") - F.countDistinct("campaign_id")) <= 0.06 * F.count("*") + 1)
+            .alias("reach_within_bound"),
+            ((F.count_if(F.col("sends") <= F.col("q50")) >= 0.46 * F.count("*"))
+             & (F.count_if(F.col("sends") < F.col("q50")) <= 0.54 * F.count("*")))
+            .alias("median_within_bound"),
+        )
+    )
+    return merged.drop("distinct", "q50").join(exact, "message_type")
 
 
 @query(f"""
@@ -87,7 +131,7 @@ def platform_stats_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = notifications(spark, sf_dir)
-    return landing.envelopes(records, 2000, ["id", "queued_at"], "api", AS_OF)
+    return landing.envelopes(records, 2000, "api", AS_OF)
 
 
 @query("""
@@ -109,15 +153,24 @@ SELECT 'records' AS part, CAST(count(*) + count(*) FILTER (o_orderkey % 10 = 4)
 FROM orders
 UNION ALL SELECT 'documents over the cap', 0
 UNION ALL SELECT 'documents that state another count', 0
+UNION ALL SELECT 'documents under the cap, but for the last', 0
+UNION ALL SELECT 'numbers that are missing or given twice', 0
 """)
 def envelope_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents hold what they state, and none more than the cap."""
+    """Documents hold what they state, none more than the cap, and are numbered without gaps."""
     documents = _documents(spark, sf_dir)
+    number = F.col("metadata.batch_number")
+    last = documents.agg(F.max(number).alias("last"))
+    short = documents.join(F.broadcast(last)).filter((F.size("data") < 2000) & (number < F.col("last")))
     wrong = readers.envelope_mismatches(documents)
     counts = {
         "records": documents.agg(F.sum(F.size("data")).alias("held")),
         "documents over the cap": documents.agg(F.count_if(F.size("data") > 2000).alias("held")),
         "documents that state another count": wrong.agg(F.count("*").alias("held")),
+        "documents under the cap, but for the last": short.agg(F.count("*").alias("held")),
+        "numbers that are missing or given twice": documents.agg(
+            (F.greatest(F.max(number), F.count("*")) - F.countDistinct(number)).alias("held")
+        ),
     }
     return rows.recombine(
         *[count.select(F.lit(part).alias("part"), "held") for part, count in counts.items()]

@@ -177,7 +177,7 @@ def test_guard_writes_nothing_for_no_rows(spark, tmp_path):
 
 def test_envelopes_hold_every_record_once(spark, tmp_path):
     records = spark.range(0, 997, 1, 5).select(F.col("id").cast("string").alias("id"))
-    documents = landing.envelopes(records, 50, ["id"], "api", WHEN)
+    documents = landing.envelopes(records, 50, "api", WHEN, ["id"])
     path = str(tmp_path / "docs")
     landing.write_envelopes(documents, path)
     back = readers.read_envelopes(spark, path, records.schema)

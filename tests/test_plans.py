@@ -96,3 +96,10 @@ def test_replies_are_shuffled_once(plan):
 def test_no_cross_joins(plan, name):
     text = plan(name)
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_the_channel_summary_makes_no_ids_and_no_texts(plan):
+    text = plan("channel_summary")
+    assert "sha2(" not in text and "to_json" not in text and "regexp_replace" not in text
+    read = {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<(.*?)>", text) for c in s.split(",")}
+    assert read == {"o_orderkey", "o_orderdate"}
