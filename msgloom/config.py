@@ -129,3 +129,5 @@ class EventSettings:
     renames: Mapping[str, str] = field(default_factory=lambda: dict(EVENT_RENAMES))
     # Columns a first touch and a repeated id are looked up within; () means the whole range.
     day_columns: Sequence[str] = ("year", "month", "day")
+    # Fields that the fixed schema does not know are kept, and reach ``unmapped``.
+    keep_unknown: bool = False

@@ -20,7 +20,9 @@ from msgloom.operators import aggregate, classify, dedup, shape
 from msgloom.schemas import MESSAGE_EVENT, UNIFIED
 from msgloom.sinks import writers
 from msgloom.sources import readers
+from msgloom.sources.unknown import UNKNOWN, read_ndjson_keeping_unknown
 
+PROPERTIES = "attributes.event_properties"
 DAY = ("year", "month", "day")
 METRIC = "relationships.metric.data.id"
 
@@ -32,7 +34,7 @@ def _property(name: str) -> Column:
 def to_raw(
     landed: DataFrame, lineage: Lineage, as_of: When, settings: EventSettings = EventSettings()
 ) -> DataFrame:
-    """Known events as 26 flat columns, with lineage and their landing day."""
+    """Known events as 26 flat columns, with lineage, their landing day and fields kept as unknown."""
     known = classify.filter_in(landed, METRIC, list(settings.names))
     code = F.col(METRIC)
     credits = classify.choose_by_code(
@@ -82,6 +84,8 @@ def to_raw(
         "month": ("month", "string"),
         "day": ("day", "string"),
     }
+    if UNKNOWN in landed.columns:
+        fields[UNKNOWN] = (UNKNOWN, "variant")
     flat = shape.flatten_nested(known, fields)
     stamped = shape.add_lineage(flat, lineage, as_of, "raw_id", ["source_event_id", *DAY])
     return shape.fix_void_columns(stamped.drop("r_updated_at"))
@@ -202,9 +206,14 @@ def run(
     log = dict(run_id=run_id, job="events", as_of=as_of, metrics=metrics,
                start_cursor=str(start), end_cursor=str(end))
     try:
-        landed = readers.read_ndjson(
-            spark, layers.landing, MESSAGE_EVENT, by_day=True, corrupt=True
-        )
+        if settings.keep_unknown:
+            landed = read_ndjson_keeping_unknown(
+                spark, layers.landing, MESSAGE_EVENT, [PROPERTIES], by_day=True
+            )
+        else:
+            landed = readers.read_ndjson(
+                spark, layers.landing, MESSAGE_EVENT, by_day=True, corrupt=True
+            )
         landed = readers.read_day_range(landed, start, end)
         seen = Observation(f"{run_id}-landing")
         counted = landed.observe(

@@ -20,6 +20,7 @@ from msgloom.schemas import METRIC
 from msgloom.session import shared_dir
 from msgloom.sinks import writers
 from msgloom.sources import readers
+from msgloom.sources.unknown import drift, read_ndjson_keeping_unknown
 
 WHEN = dt.datetime(2024, 2, 1)
 
@@ -451,6 +452,41 @@ def ndjson_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_ndjson(spark, path, events.schema)
 
 
+def _with_more_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines of which the schema knows ``event_id`` and ``place.zone`` only."""
+    path = shared_dir(spark, "fields")
+    n = F.col("event_id")
+    place = F.struct(F.lit("z").alias("zone"), F.when(n % 5 == 0, n % 7).alias("floor"))
+    score = F.when(n % 3 == 0, n % 10)
+    records = table(spark, sf_dir, "events").select(
+        n, F.col("event_type").alias("kind"), place.alias("place"), score.alias("score")
+    )
+    writers.write_ndjson(records, path, 50_000)
+    schema = T.StructType.fromDDL("event_id BIGINT, place STRUCT<zone: STRING>")
+    return read_ndjson_keeping_unknown(spark, path, schema, ["place"])
+
+
+@query("""
+SELECT event_id, 'z' AS zone, '{"kind":"' || event_type || '"' ||
+  CASE WHEN event_id % 5 = 0 THEN ',"place.floor":' || event_id % 7 ELSE '' END ||
+  CASE WHEN event_id % 3 = 0 THEN ',"score":' || event_id % 10 ELSE '' END || '}' AS unknown_fields
+FROM events
+""")
+def unknown_fields_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields outside the schema, of the record and of a nested object, beside the typed ones."""
+    read = _with_more_fields(spark, sf_dir)
+    return read.select("event_id", "place.zone", F.to_json("unknown_fields").alias("unknown_fields"))
+
+
+@query("""
+SELECT 'kind' AS field, count(*) AS rows, 'STRING' AS type FROM events
+UNION ALL SELECT 'place.floor', count(*), 'BIGINT' FROM events WHERE event_id % 5 = 0
+UNION ALL SELECT 'score', count(*), 'BIGINT' FROM events WHERE event_id % 3 = 0
+""")
+def unknown_field_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift(_with_more_fields(spark, sf_dir))
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 1")
 def layer_or_previous_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A layer with the day before the run day, but not the run day, and an older one."""
