@@ -33,6 +33,8 @@ from msgloom.sources import readers
 
 COUNTERS = ("successful", "failed", "errored", "converted", "received")
 JOB = "notifications"
+# The file that a landed record stands in; not one of the record's own fields.
+FILE = "_landed_file"
 
 
 def to_raw(
@@ -40,14 +42,16 @@ def to_raw(
 ) -> DataFrame:
     """Landed records with lineage, typed times, channel and the message text.
 
-    The id is made of the whole record: a change in any field is another version.
+    The id is made of the whole record: a change in any field is another version. The path is
+    the record's own file where the reader gives it, else the one given.
     """
     now = moment(as_of)
     whole = [
         F.to_json(f.name) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
         else F.col(f.name)
-        for f in landed.schema.fields
+        for f in landed.schema.fields if f.name != FILE
     ]
+    source = F.col(FILE) if FILE in landed.columns else F.lit(path).cast("string")
     raw = shape.add_lineage(
         landed,
         lineage,
@@ -56,7 +60,7 @@ def to_raw(
         whole,
         batch_id=F.lit(batch_id),
         processing_date=run_dates(as_of)["run_date"],
-        data_source_path=F.lit(path).cast("string"),
+        data_source_path=source,
         file_processed_at=now,
         event_date=event_date(F.col("queued_at"), F.col("completed_at"), as_of),
         eventtype=classify.classify_channel(F.col("isEmail"), F.col("isSMS")),
@@ -66,7 +70,7 @@ def to_raw(
             for c in ("queued_at", "send_after", "completed_at")
         },
     )
-    return shape.fix_void_columns(raw)
+    return shape.fix_void_columns(raw.drop(FILE))
 
 
 def _newest() -> list[Column]:
@@ -337,7 +341,7 @@ def run(
     try:
         known = existing_layer(spark, layers.raw)
         landed, bad = readers.read_checked_notifications(
-            spark, layers.landing, NOTIFICATION, modified_after
+            spark, layers.landing, NOTIFICATION, modified_after, FILE
         )
         metrics["quarantined"] = bad.count()
         if layers.quarantine and metrics["quarantined"]:

@@ -90,10 +90,16 @@ def read_notifications(
 
 
 def read_checked_notifications(
-    spark: SparkSession, path: str, record: T.StructType, modified_after: str | None = None
+    spark: SparkSession,
+    path: str,
+    record: T.StructType,
+    modified_after: str | None = None,
+    file_column: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records, and the files that give none: file, content and reason.
 
+    ``file_column`` adds the file that each record stands in.
+
     ``data`` is an array of records in an envelope and a plain map field in a flat file, so
     it is read as raw text and parsed by what the file turned out to be.
     """
@@ -121,7 +127,8 @@ def read_checked_notifications(
         )
     )
     records = F.when(is_envelope, F.col("_records")).otherwise(F.array(flat))
-    return documents.filter(~unread).select(F.inline(records)), bad
+    file = [F.col("_file").alias(file_column)] if file_column else []
+    return documents.filter(~unread).select(F.inline(records), *file), bad
 
 
 def envelope_mismatches(documents: DataFrame) -> DataFrame:

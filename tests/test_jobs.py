@@ -347,6 +347,8 @@ def test_notification_job_over_three_runs(spark, tmp_path):
     put(tmp_path / "landing/2.json", {"id": "z"}, indent=1)
     found = notifications.run(spark, layers, LINEAGE, WHEN)
     assert (found["raw_rows"], found["raw_email"], found["unified_rows"]) == (2, 1, 2)
+    origin = readers.read_layer(spark, layers.raw).select("id", "data_source_path").collect()
+    assert {r.id: r.data_source_path.rsplit("/", 1)[1] for r in origin} == {"a": "1.json", "z": "2.json"}
     row = readers.read_layer(spark, layers.optimized).filter("campaign_id = 'a'").first()
     assert (row.sends, row.success_rate, row.click_through_rate) == (10, 80.0, 25.0)
     assert (row.has_links, row.links_shortened, row.content_text_clean) == (1, None, "Hi  http://x")
