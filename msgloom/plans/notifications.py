@@ -26,8 +26,9 @@ from msgloom.functions.text import (
     strip_template,
 )
 from msgloom.functions.times import When, epoch_to_ts, event_date, moment, run_dates
-from msgloom.operators import aggregate, classify, dedup, shape
+from msgloom.operators import aggregate, classify, dedup, known_ids, shape
 from msgloom.schemas import NOTIFICATION, OPTIMIZED_CAMPAIGN, UNIFIED
+from msgloom.session import shared_dir
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
@@ -201,6 +202,8 @@ class Layers:
     """Where the layers are. ``table`` is a catalog table, ``table_path`` its folder.
 
     Landed files that cannot be read are kept in ``quarantine``, and counted in any case.
+    With ``known_ids``, a folder for Bloom filters of raw's ids, versions that raw holds are
+    looked up in the run days that the filters name, and raw's other days stay closed.
     """
 
     landing: str
@@ -210,6 +213,7 @@ class Layers:
     run_log: str
     table_path: str | None = None
     quarantine: str | None = None
+    known_ids: str | None = None
 
 
 def existing_layer(spark: SparkSession, path: str) -> DataFrame | None:
@@ -347,15 +351,28 @@ def run(
         if layers.quarantine and metrics["quarantined"]:
             bad.write.mode("overwrite").parquet(f"{layers.quarantine}/run_id={run_id}")
         raw = to_raw(landed, lineage, as_of, _next_batch(known), layers.landing)
-        if known is not None:
+        work = None
+        if known is not None and layers.known_ids:
+            known = readers.read_layer(spark, layers.raw, raw.schema)
+            known_ids.complete(known, "record_id", "processing_date", layers.known_ids)
+            parts = known_ids.read_parts(spark, layers.known_ids)
+            work = shared_dir(spark, "known-ids")
+            raw = known_ids.anti_new_rows_by_filter(
+                raw, known, "record_id", "processing_date", parts, work
+            )
+        elif known is not None:
             raw = dedup.anti_new_rows(raw, known, "record_id")
         kinds = ("EMAIL", "SMS", "PUSH_NOTIFICATION")
         channels = {kind.lower(): F.col("eventtype") == kind for kind in kinds}
         counted, seen = aggregate.row_counts(raw, f"{run_id}-raw", **channels)
         writers.append_layer(counted, layers.raw)
         metrics.update({f"raw_{k}": v for k, v in aggregate.observed(seen).items()})
+        if work:
+            writers.remove_folder(spark, work)
 
         raw = readers.read_layer(spark, layers.raw, raw.schema)
+        if layers.known_ids:
+            known_ids.complete(raw, "record_id", "processing_date", layers.known_ids)
         highest = _next_batch(raw) - 1
         days = _days_since(raw, _taken_up(spark, layers.run_log, "optimized_batch"))
         pending = raw.filter(F.col("processing_date").isin(days))

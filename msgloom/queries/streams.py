@@ -12,7 +12,8 @@ from msgloom.queries.sql import tables_with_k
 from msgloom.queries.tables import AS_OF, table, utc, webhooks, with_k
 from msgloom.schemas import WEBHOOK
 from msgloom.session import shared_dir
-from msgloom.streaming import late, matching, streams, touches
+from msgloom.sources import page_files
+from msgloom.streaming import late, matching, page_landing, streams, touches
 
 
 def _event_files(spark: SparkSession, base: str, events: DataFrame) -> DataFrame:
@@ -174,3 +175,22 @@ def stream_first_touch_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     touches.compact_first_touch(own, target, keys, order)
     return touches.current_first_touch(spark, target, keys, order).select("event_id", *keys)
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def paged_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages taken in by bookmark, in two runs: repeats over pages land once.
+
+    Clicks stand in the pages of both runs, so that later pages hold earlier times and ids that
+    were taken before.
+    """
+    base = shared_dir(spark, "paged-landing")
+    events = _events(spark, sf_dir).select("event_id", "event_type", "value")
+    clicks = events.filter("event_type = 'click'")
+    for run, part in enumerate((clicks, events)):
+        part.repartition(4).write.json(f"{base}/pages/run={run}")
+        lines = page_files.stream_pages(spark, f"{base}/pages")
+        found = page_files.records(lines, events.schema)
+        paths = [f"{base}/{name}" for name in ("out", "filters", "work", "checkpoint")]
+        page_landing.land_once(found, "event_id", ["page", "place"], *paths)
+    return spark.read.parquet(f"{base}/out").select("event_id", "event_type", "value")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from msgloom import config
 from msgloom.functions import numbers
 from msgloom.functions import text as X
-from msgloom.operators import aggregate, asof, classify, dedup, joins, rows, shape, sqldump
+from msgloom.operators import aggregate, asof, classify, dedup, joins, known_ids, rows, shape, sqldump
 from msgloom.plans import dumps, landing, pages
 from msgloom.plans.notifications import existing_layer
 from msgloom.queries.registry import query
@@ -188,6 +188,24 @@ def anti_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.anti_new_rows(new, known, "c_custkey")
 
 
+@query("""
+SELECT event_id, event_type, ts FROM events
+WHERE event_type <> 'click' OR ts >= TIMESTAMP '2024-01-16'
+""")
+def anti_new_rows_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that a layer of early clicks lacks; two batches, the filters of the second made up."""
+    layer, parts, work = (shared_dir(spark, name) for name in ("layer", "layer-ids", "maybe"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    clicks = events.filter("event_type = 'click'").withColumn("day", F.date_format("ts", "yyyyMMdd"))
+    for batch, days in ((1, "ts < '2024-01-09'"), (2, "ts >= '2024-01-09' AND ts < '2024-01-16'")):
+        rows_of_batch = clicks.filter(days).select("event_id", "day", F.lit(batch).alias("batch_id"))
+        writers.append_layer(rows_of_batch, layer, "day")
+        known_ids.complete(readers.read_layer(spark, layer, rows_of_batch.schema), "event_id", "day", parts)
+    held = readers.read_layer(spark, layer, rows_of_batch.schema)
+    filters = known_ids.read_parts(spark, parts)
+    return known_ids.anti_new_rows_by_filter(events, held, "event_id", "day", filters, work)
+
+
 # --- text --------------------------------------------------------------------------
 @query("""
 SELECT doc_id, replace(text, '{{', '{') AS clean, length(replace(text, '{{', '{')) AS letters

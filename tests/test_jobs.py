@@ -335,11 +335,12 @@ def test_failed_run_is_logged_and_raised(spark, tmp_path):
 
 
 # --- notifications -----------------------------------------------------------------
-def test_notification_job_over_three_runs(spark, tmp_path):
+@pytest.mark.parametrize("filters", [None, "known-ids"])
+def test_notification_job_over_three_runs(spark, tmp_path, filters):
     name = f"t_{uuid.uuid4().hex[:8]}"
     layers = notifications.Layers(
         *[str(tmp_path / n) for n in ("landing", "raw", "opt")], name,
-        str(tmp_path / "log"), str(tmp_path / "table"),
+        str(tmp_path / "log"), str(tmp_path / "table"), known_ids=filters and str(tmp_path / filters),
     )
     first = {"id": "a", "successful": 8, "failed": 1, "errored": 1, "converted": 2,
              "queued_at": 1764547200, "isEmail": True, "contents": {"en": "Hi {{n}} http://x"}}
