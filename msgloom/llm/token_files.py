@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -234,8 +234,35 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     return shards.repartition(tasks, "path").mapInArrow(_read_shards, FOUND_SQL)
 
 
+def _shards_of(bounds: list[tuple[int, int, str]]) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """A map from keys to the shards whose range holds them, by binary search.
+
+    Shards are cut by ranges of the key, so that both their ends rise from shard to shard; a key
+    at which two shards touch goes to both.
+    """
+    lowest = np.array([low for low, _, _ in bounds], np.int64)
+    highest = np.array([high for _, high, _ in bounds], np.int64)
+    paths = pa.array([path for *_, path in bounds], pa.string())
+
+    def assign(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            first = np.searchsorted(highest, keys, "left")
+            count = np.maximum(np.searchsorted(lowest, keys, "right") - first, 0)
+            held = np.repeat(keys, count)
+            place = np.arange(len(held)) - np.repeat(np.cumsum(count) - count, count)
+            shard = pa.array(np.repeat(first, count) + place)
+            yield pa.record_batch([paths.take(shard), pa.array(held, pa.int64())], names=["path", "key"])
+
+    return assign
+
+
 def lookup(manifest: DataFrame, wanted: DataFrame, key_col: str = "doc_id") -> DataFrame:
-    """doc_id and ids (array) of the wanted keys; keys that were never written give no row."""
+    """doc_id and ids (array) of the wanted keys; keys that were never written give no row.
+
+    The manifest's ranges, one row for each shard, come to the driver and go to the tasks, which
+    find a key's shard by binary search; only pairs of shard and key are shuffled.
+    """
 
     def find(batches: Batches) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
@@ -251,8 +278,10 @@ def lookup(manifest: DataFrame, wanted: DataFrame, key_col: str = "doc_id") -> D
         yield from out.rest()
 
     keys = wanted.select(F.col(key_col).cast("long").alias("key")).dropna().distinct()
-    hits = manifest.join(keys, (F.col("key") >= F.col("lowest")) & (F.col("key") <= F.col("highest")))
-    return (hits.select("path", "key").repartition("path").sortWithinPartitions("path", "key")
+    ranges = manifest.select("lowest", "highest", "path").dropna()
+    bounds = sorted((tuple(row) for row in ranges.collect()), key=lambda b: b[:2])
+    hits = keys.mapInArrow(_shards_of(bounds), "path string, key bigint")
+    return (hits.repartition("path").sortWithinPartitions("path", "key")
             .mapInArrow(find, "doc_id bigint, ids array<bigint>"))
 
 

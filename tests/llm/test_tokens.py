@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from msgloom.llm import packing, token_counts, token_files
@@ -96,6 +97,14 @@ def test_token_files_round_trip(spark):
     assert all(r.ids == [*ids_of(WORDS, TEXTS[r.doc_id]), 1] for r in found)
 
 
+@pytest.mark.parametrize("bounds", [[], [(3, 9, "a")], [(-5, 0, "a"), (0, 0, "b"), (0, 4, "c"), (8, 20, "d")]])
+def test_shards_of_keys_against_a_range_join(bounds):
+    keys = list(range(-8, 24))
+    batch = pa.record_batch([pa.array(keys, pa.int64())], names=["key"])
+    got = [(r["path"], r["key"]) for b in token_files._shards_of(bounds)([batch]) for r in b.to_pylist()]
+    assert sorted(got) == sorted((path, k) for low, high, path in bounds for k in keys if low <= k <= high)
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(-(2**62), 2**62, 20_000)
     made = token_files.PerfectHash.build(np.unique(keys))
