@@ -14,12 +14,20 @@ def decode_with_dimension(
 ) -> DataFrame:
     """Facts with the dimension's columns (``{dimension column: new name}``), null if unknown.
 
-    The dimension must hold each key once, or facts would multiply.
+    The dimension must hold each key once, or facts would multiply: a key that it holds more
+    than once ends the job with an error once a fact meets it. The dimension is grouped by the
+    join's own key, which a shuffle join needs as partitioning anyway. Null keys match nothing.
     """
-    right = dimension.select(
-        F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(n) for c, n in columns.items()]
+    key_of = F.col(dim_key).alias("_dim_key")
+    grouped = dimension.filter(F.col(dim_key).isNotNull()).groupBy(key_of).agg(
+        F.any_value(F.struct(*[F.col(c).alias(n) for c, n in columns.items()])).alias("_row"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    return facts.join(right, facts[key] == right["_dim_key"], "left").drop("_dim_key")
+    found = facts.join(grouped, facts[key] == grouped["_dim_key"], "left")
+    repeated = F.concat(F.lit(f"{dim_key} is not unique in the dimension: "), F.col("_dim_key").cast("string"))
+    row = F.when(F.col("_rows") > 1, F.raise_error(repeated)).otherwise(F.col("_row"))
+    named = [F.col("_row")[n].alias(n) for n in columns.values()]
+    return found.withColumn("_row", row).select(*[F.col(f"`{c}`") for c in facts.columns], *named)
 
 
 def time_buckets(df: DataFrame, at: str, pieces: int) -> Column:
