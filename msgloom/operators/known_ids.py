@@ -3,8 +3,8 @@
 Beside the layer lies a table with the filters' blocks, one part for each batch that was added.
 A block has eight words; an id chooses a block by one hash and one bit of each word by another,
 so that a look-up is an equi-join on the block and eight comparisons in the same stage. Parts
-of equal size merge by OR (``merged``). A filter says "no" for certain and "maybe" wrongly about
-once in five million times, so what it names is looked up in the layer itself, in those
+of equal size merge by OR (``merged``). A filter says "no" for certain and "maybe" wrongly at
+most once in three million times, by calculation, so what it names is looked up in the layer itself, in those
 folders only.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from msgloom.sinks import writers
 
 WORDS = 8
-# Bits of the filter for each id. Half as many would be wrong about once in 50,000 times.
+# Bits of the filter for each id. Half as many would be wrong up to once in 60,000 times.
 BITS = 64
 _WORDS = [f"_w{i}" for i in range(WORDS)]
 _SIZES = ["_folder", "_blocks", "_block"]
