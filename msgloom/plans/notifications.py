@@ -11,7 +11,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -325,6 +325,33 @@ def finish_merges(spark: SparkSession, table: str, partitions: list[str]) -> int
     return done
 
 
+def _not_known(
+    spark: SparkSession, raw: DataFrame, known: DataFrame, layers: Layers, work: str
+) -> DataFrame:
+    """The landed rows whose version raw lacks.
+
+    The landed ids alone are written to ``work`` and looked up, so that whole records are
+    neither shuffled nor sorted for it. Those found new are written there too: few of them
+    are broadcast to a second reading of the files, and none make it needless.
+    """
+    raw.select("record_id").write.parquet(f"{work}/landed")
+    ids = spark.read.schema("record_id STRING").parquet(f"{work}/landed")
+    if layers.known_ids:
+        held = readers.read_layer(spark, layers.raw, raw.schema)
+        known_ids.complete(held, "record_id", "processing_date", layers.known_ids)
+        parts = known_ids.read_parts(spark, layers.known_ids)
+        new = known_ids.anti_new_rows_by_filter(
+            ids, held, "record_id", "processing_date", parts, f"{work}/known"
+        )
+    else:
+        new = dedup.anti_new_rows(ids, known, "record_id")
+    new.distinct().write.parquet(f"{work}/new")
+    found = spark.read.schema("record_id STRING").parquet(f"{work}/new")
+    if found.isEmpty():
+        return raw.filter(F.lit(False))
+    return raw.join(found, "record_id", "left_semi")
+
+
 def run(
     spark: SparkSession,
     layers: Layers,
@@ -344,24 +371,15 @@ def run(
     log = dict(run_id=run_id, job=JOB, as_of=as_of, metrics=metrics)
     try:
         known = existing_layer(spark, layers.raw)
+        torn = Observation(f"{run_id}-landing")
         landed, bad = readers.read_checked_notifications(
-            spark, layers.landing, NOTIFICATION, modified_after, FILE
+            spark, layers.landing, NOTIFICATION, modified_after, FILE, torn
         )
-        metrics["quarantined"] = bad.count()
-        if layers.quarantine and metrics["quarantined"]:
-            bad.write.mode("overwrite").parquet(f"{layers.quarantine}/run_id={run_id}")
         raw = to_raw(landed, lineage, as_of, _next_batch(known), layers.landing)
         work = None
-        if known is not None and layers.known_ids:
-            known = readers.read_layer(spark, layers.raw, raw.schema)
-            known_ids.complete(known, "record_id", "processing_date", layers.known_ids)
-            parts = known_ids.read_parts(spark, layers.known_ids)
-            work = shared_dir(spark, "known-ids")
-            raw = known_ids.anti_new_rows_by_filter(
-                raw, known, "record_id", "processing_date", parts, work
-            )
-        elif known is not None:
-            raw = dedup.anti_new_rows(raw, known, "record_id")
+        if known is not None:
+            work = shared_dir(spark, "landed-ids")
+            raw = _not_known(spark, raw, known, layers, work)
         kinds = ("EMAIL", "SMS", "PUSH_NOTIFICATION")
         channels = {kind.lower(): F.col("eventtype") == kind for kind in kinds}
         counted, seen = aggregate.row_counts(raw, f"{run_id}-raw", **channels)
@@ -369,6 +387,9 @@ def run(
         metrics.update({f"raw_{k}": v for k, v in aggregate.observed(seen).items()})
         if work:
             writers.remove_folder(spark, work)
+        metrics["quarantined"] = aggregate.observed(torn).get("bad", 0)
+        if layers.quarantine and metrics["quarantined"]:
+            bad.write.mode("overwrite").parquet(f"{layers.quarantine}/run_id={run_id}")
 
         raw = readers.read_layer(spark, layers.raw, raw.schema)
         if layers.known_ids:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,20 @@ def read_ndjson(
     return spark.read.schema(schema).json(path)
 
 
+def _whole_files(spark: SparkSession, path: str, modified_after: str | None) -> DataFrame:
+    """Each file below the path as one text, with its name."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
+
+
+def _parsed(text: str, schema: T.StructType) -> Column:
+    """Struct from JSON text, with the text itself where it is not sound."""
+    checked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(text, checked, {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def read_checked_documents(
     spark: SparkSession, path: str, schema: T.StructType, modified_after: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -58,12 +72,8 @@ def read_checked_documents(
     Without the check such a file would become a record of nulls. Files are read as text,
     as a JSON source does not give its corrupt records alone.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    files = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
-    checked = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json("value", checked, {"columnNameOfCorruptRecord": CORRUPT})
+    files = _whole_files(spark, path, modified_after)
+    parsed = _parsed("value", schema)
     read = compute_once(files, "_parsed", parsed)
     torn = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
     good = read.filter(~torn).select("_file", *[F.col("_parsed")[f].alias(f) for f in schema.fieldNames()])
@@ -95,40 +105,64 @@ def read_checked_notifications(
     record: T.StructType,
     modified_after: str | None = None,
     file_column: str | None = None,
+    seen: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records, and the files that give none: file, content and reason.
 
-    ``file_column`` adds the file that each record stands in.
+    ``file_column`` adds the file that each record stands in. ``seen`` observes the number of
+    files that give none, as ``bad``, while the records are read.
 
-    ``data`` is an array of records in an envelope and a plain map field in a flat file, so
-    it is read as raw text and parsed by what the file turned out to be.
+    ``data`` is an array of records in an envelope and a plain map field in a flat file. A
+    sound envelope is parsed once, to its records; any other file is parsed with ``data`` as
+    raw text, and that by what the file turned out to be.
     """
+    files = _whole_files(spark, path, modified_after)
     loose = T.StructType(
         [T.StructField("metadata", ENVELOPE_METADATA)]
         + [T.StructField(f.name, T.StringType()) if f.name == "data" else f for f in record.fields]
     )
-    documents, bad = read_checked_documents(spark, path, loose, modified_after)
+    whole = T.StructType(
+        [T.StructField(f.name, T.ArrayType(record)) if f.name == "data" else f for f in loose.fields]
+    )
+    # Without the word a file is no envelope, and need not be tried as one.
+    tried = F.when(F.col("value").contains('"metadata"'), _parsed("value", whole))
+    documents = compute_once(files, "_listed", tried)
+    inside = F.col("_listed.data")
+    sound = (
+        F.col("_listed.metadata").isNotNull() & F.col(f"_listed.{CORRUPT}").isNull()
+        & (F.size(inside) > 0) & ~F.exists(inside, lambda one: one.isNull())
+    )
+    sound = F.coalesce(sound, F.lit(False))
+    # Only of other files is the text still needed.
+    documents = documents.select(
+        "_file", F.when(sound, inside).alias("_sound"), F.when(~sound, F.col("value")).alias("value")
+    )
+    documents = compute_once(documents, "_loose", _parsed("value", loose))
+    held = F.col("_loose")
+    is_sound = F.col("_sound").isNotNull()
+    torn = ~is_sound & (held.isNull() | held[CORRUPT].isNotNull())
     data_type = record["data"].dataType
     flat = F.struct(
         *[
-            F.from_json("data", data_type).alias("data") if n == "data" else F.col(n)
+            F.from_json(held["data"], data_type).alias("data") if n == "data" else held[n].alias(n)
             for n in record.fieldNames()
         ]
     ).cast(record)
-    is_envelope = F.col("metadata").isNotNull()
-    listed = F.when(is_envelope, F.from_json("data", T.ArrayType(record)))
-    documents = compute_once(documents, "_records", listed)
+    is_envelope = ~is_sound & held["metadata"].isNotNull()
+    listed = F.when(is_envelope, F.from_json(held["data"], T.ArrayType(record)))
     # A text that is no list of records parses to null, or to a list of one null.
-    is_list = F.btrim("data").startswith("[") & F.col("_records").isNotNull()
-    unread = is_envelope & F.col("data").isNotNull() & ~F.coalesce(is_list, F.lit(False))
-    bad = bad.unionByName(
-        documents.filter(unread).select(
-            F.col("_file").alias("file"), F.col("data").alias("content"), F.lit("Invalid data").alias("reason")
-        )
+    is_list = F.btrim(held["data"]).startswith("[") & listed.isNotNull()
+    unread = is_envelope & held["data"].isNotNull() & ~F.coalesce(is_list, F.lit(False))
+    reason = F.when(torn, "Invalid JSON").when(unread, "Invalid data")
+    content = F.when(torn, F.col("value")).otherwise(held["data"])
+    bad = documents.filter(reason.isNotNull()).select(
+        F.col("_file").alias("file"), content.alias("content"), reason.alias("reason")
     )
-    records = F.when(is_envelope, F.col("_records")).otherwise(F.array(flat))
+    if seen:
+        documents = documents.observe(seen, F.count(reason).alias("bad"))
+    records = F.when(is_sound, F.col("_sound")).when(is_envelope, listed).otherwise(F.array(flat))
     file = [F.col("_file").alias(file_column)] if file_column else []
-    return documents.filter(~unread).select(F.inline(records), *file), bad
+    return documents.filter(reason.isNull()).select(F.inline(records), *file), bad
 
 
 def envelope_mismatches(documents: DataFrame) -> DataFrame:

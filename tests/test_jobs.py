@@ -10,6 +10,7 @@ import uuid
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,6 +187,32 @@ def test_envelopes_hold_every_record_once(spark, tmp_path):
     assert values(readers.unwrap_envelope(back), "id") == values(records)
 
 
+def test_bad_files_are_counted_while_records_are_read(spark, tmp_path):
+    meta = {"batch_number": 1, "record_count": 1, "ingestion_timestamp": "t", "source": "api"}
+    put(tmp_path / "good.json", {"metadata": meta, "data": [{"id": "a"}, {"id": "b", "failed": "many"}]})
+    put(tmp_path / "null.json", {"metadata": meta, "data": [{"id": "c"}, None]})
+    put(tmp_path / "flat.json", {"id": "d", "name": '"metadata"', "data": {"k": "v"}})
+    put(tmp_path / "odd.json", {"metadata": meta, "data": "no list"})
+    (tmp_path / "torn.json").write_text('{"metadata": ')
+    seen = Observation("bad-files")
+    good, bad = readers.read_checked_notifications(spark, str(tmp_path), NOTIFICATION, seen=seen)
+    ids = [r[0] for r in good.select("id").collect()]
+    assert sorted(ids, key=str) == [None, "a", "b", "c", "d"] or sorted(ids, key=str) == ["a", "b", "c", "d"]
+    assert aggregate.observed(seen)["bad"] == bad.count() == 2
+
+
+def test_known_versions_are_looked_up_by_id_alone(spark, tmp_path):
+    put(tmp_path / "in/a.json", {"id": "a"})
+    landed, _ = readers.read_checked_notifications(spark, str(tmp_path / "in"), NOTIFICATION)
+    raw = notifications.to_raw(landed, LINEAGE, WHEN, 1, "in")
+    layers = notifications.Layers(*[str(tmp_path / n) for n in ("in", "raw", "opt", "table", "log")])
+    none = notifications._not_known(spark, raw, raw, layers, str(tmp_path / "w1"))
+    assert none.count() == 0 and "Join" not in none._jdf.queryExecution().optimizedPlan().toString()
+    new = notifications._not_known(spark, raw, raw.filter("id = 'b'"), layers, str(tmp_path / "w2"))
+    assert values(new, "id") == [("a",)]
+    assert "BroadcastHashJoin" in new._jdf.queryExecution().executedPlan().toString()
+
+
 class FakeSession:
     """The two settings the folder depends on."""
 
