@@ -48,9 +48,10 @@ def envelopes(
 
 
 def write_envelopes(documents: DataFrame, path: str) -> None:
-    """One pretty-printed document per file."""
+    """One pretty-printed document per file, compressed: its many blanks and names cost nothing."""
     text = F.to_json(F.struct("metadata", "data"), {"pretty": "true"}).alias("value")
-    documents.select(text).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    writer = documents.select(text).write.mode("overwrite").option("maxRecordsPerFile", 1)
+    writer.text(path, compression="gzip")
 
 
 def last_cursor(spark: SparkSession, run_log: str, job: str) -> str | None:

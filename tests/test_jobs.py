@@ -187,6 +187,18 @@ def test_envelopes_hold_every_record_once(spark, tmp_path):
     assert values(readers.unwrap_envelope(back), "id") == values(records)
 
 
+def test_envelope_files_are_compressed(spark, tmp_path):
+    """The blanks and names of pretty-printed documents were most of what was written."""
+    records = spark.range(0, 500, 1, 2).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("name"))
+    path = str(tmp_path / "docs")
+    landing.write_envelopes(landing.envelopes(records, 100, "api", WHEN, ["id"]), path)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 5 and all(f.endswith(".gz") for f in files)
+    texts = spark.read.text(path, wholetext=True).agg(F.sum(F.length("value"))).first()[0]
+    assert 4 * sum(os.path.getsize(f"{path}/{f}") for f in files) < texts
+    assert values(readers.read_notifications(spark, path, NOTIFICATION), "id") == values(records, "id")
+
+
 def test_bad_files_are_counted_while_records_are_read(spark, tmp_path):
     meta = {"batch_number": 1, "record_count": 1, "ingestion_timestamp": "t", "source": "api"}
     put(tmp_path / "good.json", {"metadata": meta, "data": [{"id": "a"}, {"id": "b", "failed": "many"}]})
