@@ -96,25 +96,44 @@ def read_tuples(
     Columns in ``keep`` stay.
     """
     aside = F.lit(False) if aside is None else aside
-    value = F.col(line)
 
+    # Each pattern is tried only on texts that begin like it or hold its sign.
     def holds_no_data(text: Column) -> Column:
-        return (text == "") | header_predicate(text) | text.rlike(NO_DATA)
+        begins = F.substr(text, F.lit(1), F.lit(1)).isin("i", "I", "v", "V", "-", "/")
+        header = text.contains("`") & text.rlike(HEADER_LINE)
+        return (text == "") | header | (begins & text.rlike(NO_DATA))
 
     def tuples_of(text: Column) -> Column:
-        return F.regexp_replace(clean_line(text), STATEMENT, "")
-
-    torn = value.contains("\n") & ~holds_no_data(clean_line(value)) & ~tuples_of(value).rlike(TUPLE_LINE)
-    single = F.explode(F.when(~aside & torn, F.split(line, "\n")).otherwise(F.array(value)))
-    apart = lines.select(*keep, aside.alias("_aside"), single.alias("line"))
-    data = apart.filter(F.col("_aside") | F.coalesce(~holds_no_data(clean_line(F.col("line"))), F.lit(False)))
-    body = tuples_of(F.col("line"))
-    readable = ~F.col("_aside") & body.rlike(TUPLE_LINE)
-    tuples = F.when(readable, F.regexp_extract_all(body, F.lit(f"({TUPLE})"), F.lit(1))).otherwise(
+        insert = F.lower(F.substr(text, F.lit(1), F.lit(6))) == "insert"
+        return F.when(insert, F.regexp_replace(text, STATEMENT, "")).otherwise(text)
+
+    def judged(rows: DataFrame, line: str, where: Column, suffix: str) -> DataFrame:
+        """With the clean text, its tuples if it holds data, and whether they are whole."""
+        text, body = f"_text{suffix}", f"_body{suffix}"
+        rows = compute_once(rows, text, F.when(where, clean_line(F.col(line))))
+        has_data = F.coalesce(~holds_no_data(F.col(text)), F.lit(False))
+        rows = compute_once(rows, body, F.when(has_data, tuples_of(F.col(text))))
+        return compute_once(rows, f"_whole{suffix}", F.col(body).rlike(TUPLE_LINE))
+
+    given = lines.select(*keep, aside.alias("_aside"), F.col(line).alias("_value"))
+    first = judged(given, "_value", ~F.col("_aside"), "1")
+    torn = F.col("_value").contains("\n") & F.col("_body1").isNotNull() & ~F.col("_whole1")
+    marked = first.withColumn("_torn", F.coalesce(torn, F.lit(False)))
+    pieces = F.when(F.col("_torn"), F.split("_value", "\n")).otherwise(F.array("_value"))
+    # Only the lines of torn ones are judged again.
+    apart = judged(marked.select("*", F.explode(pieces).alias("line")), "line", F.col("_torn"), "2")
+    apart = apart.select(
+        *keep, "_aside", "line",
+        *[F.when(F.col("_torn"), F.col(f"_{c}2")).otherwise(F.col(f"_{c}1")).alias(f"_{c}")
+          for c in ("text", "body", "whole")],
+    )
+    body = apart.filter(F.col("_aside") | F.col("_body").isNotNull())
+    text, readable = F.col("_text"), F.col("_whole")
+    tuples = F.when(readable, F.regexp_extract_all("_body", F.lit(f"({TUPLE})"), F.lit(1))).otherwise(
         F.array(F.lit(None).cast("string"))
     )
-    one = data.select(
-        *keep, "_aside", "line", F.explode(tuples).alias("_tuple"), (F.size(tuples) == 1).alias("_alone")
+    one = compute_once(body, "_tuples", tuples).select(
+        *keep, "_aside", "line", "_text", F.explode("_tuples").alias("_tuple"), (F.size("_tuples") == 1).alias("_alone")
     )
     inner = F.substr(F.col("_tuple"), F.lit(2), F.length("_tuple") - 2)
     found = F.regexp_extract_all(F.concat(F.lit(","), inner), F.lit(TUPLE_VALUE), F.lit(1))
@@ -124,7 +143,7 @@ def read_tuples(
     reason = (
         F.when(F.col("_aside") | fits, F.lit(None).cast("string"))
         .when(F.col("_tuple").isNotNull(), F.concat(count, F.lit(f" values for {len(columns)} columns")))
-        .when(clean_line(F.col("line")).startswith("("), F.lit("unreadable value"))
+        .when(text.startswith("("), F.lit("unreadable value"))
         .otherwise(F.lit("no tuple"))
     )
     part = F.when(F.col("_alone"), F.col("line")).otherwise(F.col("_tuple"))

@@ -34,6 +34,8 @@ WHOLE, START, WITHIN, END = range(4)
 
 # Characters of a record that is put together from several blocks.
 LONGEST_RECORD = 1 << 28
+# Rows and bytes of a batch that the second reading gives.
+BATCH_ROWS, BATCH_BYTES = 5000, 4 << 20
 PIECES_SQL = "value string, file string, block bigint, kind int"
 
 
@@ -139,22 +141,39 @@ class _Joiner:
             i = stop + 1
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    joiner = _Joiner()
-    names = ["value", "file", "block", "kind"]
+class _Gathered:
+    """Runs and single records as batches of some thousand rows, in the order in which they come."""
+
+    def __init__(self) -> None:
+        self.values, self.marks, self.size = [], [], 0
+
+    def add(self, values: pa.Array, file: str | None = None, block: int | None = None, kind: int = WHOLE):
+        self.values.append(values)
+        self.marks += [(file, block, kind)] * len(values)
+        self.size += values.nbytes
 
-    def batch_of(values: pa.Array, file=None, block=None, kind: int = WHOLE) -> pa.RecordBatch:
-        n = len(values)
-        columns = [values.cast(pa.string()), pa.array([file] * n, pa.string()),
-                   pa.array([block] * n, pa.int64()), pa.array([kind] * n, pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+    def ready(self, most: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+        if self.marks and (len(self.marks) >= most or self.size >= size):
+            file, block, kind = zip(*self.marks)
+            columns = [pa.concat_arrays(self.values), pa.array(file, pa.string()),
+                       pa.array(block, pa.int64()), pa.array(kind, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["value", "file", "block", "kind"])
+            self.values, self.marks, self.size = [], [], 0
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    joiner, out = _Joiner(), _Gathered()
 
     def given(found: Iterator) -> Iterator[pa.RecordBatch]:
         for one in found:
-            yield batch_of(one) if isinstance(one, pa.Array) else batch_of(pa.array([one[0]]), *one[1:])
+            if isinstance(one, pa.Array):
+                out.add(one)
+            else:
+                out.add(pa.array([one[0]], pa.string()), *one[1:])
+            yield from out.ready()
 
     for batch in batches:
-        values, moves = batch.column(0), batch.column(3).to_numpy()
+        values, moves = batch.column(0).cast(pa.string()), batch.column(3).to_numpy()
         files = batch.column(1).dictionary_encode()
         ids, blocks = files.indices.to_numpy(), batch.column(2).to_numpy()
         cuts = np.flatnonzero((np.diff(ids) != 0) | (np.diff(blocks) != 0)) + 1
@@ -168,6 +187,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 joiner.begin(where, batch.column(4)[a].as_py())
             yield from given(joiner.lines(values.slice(a, b - a), moves[a:b]))
     yield from given(joiner.end())
+    yield from out.ready(0)
 
 
 def read_pieces(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ import random
 import uuid
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -225,6 +226,19 @@ def test_known_versions_are_looked_up_by_id_alone(spark, tmp_path):
     assert "BroadcastHashJoin" in new._jdf.queryExecution().executedPlan().toString()
 
 
+def test_joined_records_come_in_large_batches():
+    """One batch for each record of several lines made the second reading slow."""
+    lines = ["(1,'a", "b'),", "(2,'c'),"] * 1000
+    moves = [{"(1,'a": 9 * 2 + 1, "b'),": 9 * 2 + 1}.get(line, dump_text.STAY) for line in lines]
+    batch = pa.RecordBatch.from_pydict(
+        {"value": lines, "file": ["f"] * 3000, "block": [0] * 3000, "move": pa.array(moves, pa.int32()),
+         "starts_in": pa.array([0] * 3000, pa.int32())}
+    )
+    out = list(dump_text._records(iter([batch])))
+    assert len(out) <= 2
+    assert [v for b in out for v in b.column(0).to_pylist()] == ["(1,'a\nb'),", "(2,'c'),"] * 1000
+
+
 class FakeSession:
     """The two settings the folder depends on."""
 
