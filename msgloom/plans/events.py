@@ -7,6 +7,7 @@ job gives the rows that day-by-day runs give.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -92,9 +93,16 @@ def to_raw(
 
 
 def to_optimized(
-    raw: DataFrame, as_of: When, settings: EventSettings = EventSettings()
+    raw: DataFrame,
+    as_of: When,
+    settings: EventSettings = EventSettings(),
+    gather: Sequence[str] = (),
 ) -> DataFrame:
-    """Each event once, without bot clicks, only the first click of a profile on a message."""
+    """Each event once, without bot clicks, only the first click of a profile on a message.
+
+    ``gather`` names folders that the rows are gathered by for writing; that comes before the
+    new columns, which are then not shuffled.
+    """
     scope = list(settings.day_columns)
     once = dedup.dedup_by_key(
         raw, [*scope, "source_event_id"], ["unix_timestamp", "full_properties_json"]
@@ -110,6 +118,8 @@ def to_optimized(
         ["unix_timestamp", "source_event_id"],
         where=is_click,
     )
+    if gather:
+        touched = writers.compact(touched, *gather)
     code = F.col("metric_id")
     return touched.withColumns(
         {
@@ -232,19 +242,17 @@ def run(
         # After a shuffle every task holds rows of every day: gather them by day before
         # writing, or each day would get a file from each task.
         raw = _of_days(readers.read_layer(spark, layers.raw, raw.schema), present)
-        optimized = to_optimized(raw, as_of, settings)
-        counted, seen = aggregate.row_counts(
-            writers.compact(optimized, *DAY), f"{run_id}-optimized"
-        )
+        optimized = to_optimized(raw, as_of, settings, DAY)
+        counted, seen = aggregate.row_counts(optimized, f"{run_id}-optimized")
         writers.replace_partitions(counted, layers.optimized, DAY, present, f"{run_id}-days")
         metrics["optimized_rows"] = aggregate.observed(seen).get("rows", 0)
 
         done = _of_days(readers.read_layer(spark, layers.optimized, optimized.schema), present)
         unified = to_unified(done, batches, as_of, settings, keep_day=True)
         keys = ["connector_id", "landing_day"]
-        unified, seen = aggregate.row_counts(
-            writers.compact(unified, *keys), f"{run_id}-unified"
-        )
+        # The optimized files hold one day each, and a task that reads some of them holds few
+        # days: its rows are written as they come, without a shuffle.
+        unified, seen = aggregate.row_counts(unified, f"{run_id}-unified")
         folders = [(int(lineage.connector_id), "-".join(map(str, day))) for day in present]
         writers.replace_partitions(unified, layers.unified, keys, folders, f"{run_id}-folders")
         metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)

@@ -466,7 +466,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[event_job.Layers, list[dt
     base = shared_dir(spark, "backfill")
     layers = event_job.Layers(*[f"{base}/{n}" for n in ("landing", "raw", "opt", "unified", "log")])
     writers.write_ndjson(
-        message_events(spark, sf_dir), layers.landing, 100_000, ["year", "month", "day"]
+        message_events(spark, sf_dir), layers.landing, 100_000, ["year", "month", "day"], "gzip"
     )
     day = F.to_date("ts")
     first, last = _events(spark, sf_dir).agg(F.min(day), F.max(day)).first()
@@ -493,7 +493,7 @@ def backfill_of_a_day_loaded_again(spark: SparkSession, sf_dir: str) -> DataFram
     unknown = F.struct(F.struct(F.lit("none").alias("id")).alias("data")).alias("metric")
     links = F.struct(unknown, F.col("relationships.profile").alias("profile"))
     writers.write_ndjson(
-        first.withColumn("relationships", links), layers.landing, 100_000, ["year", "month", "day"]
+        first.withColumn("relationships", links), layers.landing, 100_000, ["year", "month", "day"], "gzip"
     )
     event_job.run(spark, layers, *days, LINEAGE, dt.datetime(2024, 2, 1))
     return _unified_layer(spark, layers)

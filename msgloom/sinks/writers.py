@@ -32,10 +32,13 @@ def append_layer(df: DataFrame, path: str, partition: str = "processing_date") -
 
 
 def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Replace exactly the partition folders the rows fall into; a rerun gives the same."""
+    """Replace exactly the partition folders the rows fall into; a rerun gives the same.
+
+    Ids that are hashes make up much of a layer; zstd halves their hex digits, snappy does not.
+    """
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", compression="zstd")
         .partitionBy(*keys)
         .parquet(path)
     )
@@ -99,10 +102,19 @@ def append_table(
 
 
 def write_ndjson(
-    df: DataFrame, path: str, max_records: int, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    max_records: int,
+    partition_by: Sequence[str] = (),
+    compression: str | None = None,
 ) -> None:
-    """JSON lines in files of at most ``max_records`` rows; folders given are replaced."""
+    """JSON lines in files of at most ``max_records`` rows; folders given are replaced.
+
+    A compressed file is read by one task, so that the number of rows bounds that task.
+    """
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.json(path)

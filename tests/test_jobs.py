@@ -239,6 +239,20 @@ def test_joined_records_come_in_large_batches():
     assert [v for b in out for v in b.column(0).to_pylist()] == ["(1,'a\nb'),", "(2,'c'),"] * 1000
 
 
+def test_backfill_shuffles_no_columns_that_it_adds(spark, tmp_path):
+    landed = spark.createDataFrame([], MESSAGE_EVENT).withColumns(
+        {"year": F.lit(2025), "month": F.lit("12"), "day": F.lit("01")}
+    )
+    optimized = events.to_optimized(events.to_raw(landed, LINEAGE, WHEN), WHEN, gather=events.DAY)
+    plan = optimized.select("optimized_id", "source_event_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("AS optimized_id") < plan.index("RebalancePartitions")
+    path = str(tmp_path / "layer")
+    writers.overwrite_partitions(spark.range(3).withColumn("d", F.lit(1)), path, ["d"])
+    assert all(".zstd." in f for f in os.listdir(f"{path}/d=1") if f.startswith("part-"))
+    writers.write_ndjson(spark.range(25), str(tmp_path / "lines"), 10, compression="gzip")
+    assert all(f.endswith(".gz") for f in os.listdir(tmp_path / "lines") if f.startswith("part-"))
+
+
 class FakeSession:
     """The two settings the folder depends on."""
 
