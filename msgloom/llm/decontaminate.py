@@ -137,6 +137,13 @@ class Index:
             for _, term, weight in mine[light:]:
                 self.heavy.setdefault(term, []).append((item, weight))
         self.heavy_words = set(self.heavy)
+        # The same as arrays: the number of each heavy word, and where its entries start.
+        self.heavy_number = {word: k for k, word in enumerate(self.heavy)}
+        self.heavy_at = np.cumsum([0] + [len(p) for p in self.heavy.values()])
+        brought = [pair for posting in self.heavy.values() for pair in posting]
+        self.heavy_entry = np.array([i for i, _ in brought], np.int64)
+        self.heavy_weight = np.array([w for _, w in brought], np.float64)
+        self.least = np.array(self.needed) - 1e-9
         self.at = np.cumsum([0] + [len(p) for p in postings])
         flat = [x for p in postings for x in p]
         self.item = np.array([i for i, _ in flat], np.int64)
@@ -161,7 +168,9 @@ class Index:
 
     def _postings(self, starts: np.ndarray, terms: np.ndarray) -> np.ndarray:
         """Places of the postings of some terms."""
-        return np.concatenate([np.arange(starts[t], starts[t + 1]) for t in terms.tolist()])
+        firsts, sizes = starts[terms], starts[terms + 1] - starts[terms]
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(firsts - ends + sizes, sizes)
 
     def _brought(self, words: set[str]) -> dict[int, float]:
         """What these heavy words bring to each entry that has one of them."""
@@ -176,6 +185,27 @@ class Index:
         needed = self.needed
         return {i // BLOCK_ITEMS for i, share in self._brought(words).items() if share >= needed[i]}
 
+    def _passages(self, held: list[set[str]]) -> list[int]:
+        """Passages whose two steps together may bring enough to any entry, all steps at once.
+
+        What a passage brings to an entry is at most what its two steps do, each for itself.
+        """
+        number = self.heavy_number
+        terms = np.array([number[word] for step in held for word in step], np.int64)
+        steps = np.repeat(np.arange(len(held)), [len(step) for step in held])
+        places = self._postings(self.heavy_at, terms)
+        steps = np.repeat(steps, self.heavy_at[terms + 1] - self.heavy_at[terms])
+        # One key for each entry and step; the next key is the entry's next step.
+        wide = len(held) + 1
+        keys, where = np.unique(self.heavy_entry[places] * wide + steps, return_inverse=True)
+        brought = np.bincount(where, self.heavy_weight[places], len(keys))
+        entry, step = keys // wide, keys % wide
+        following = np.append(np.where(keys[1:] == keys[:-1] + 1, brought[1:], 0.0), 0.0)[: len(keys)]
+        both = step[brought + following >= self.least[entry]]
+        alone = step[brought >= self.least[entry]] - 1
+        found = np.unique(np.concatenate([both, alone]))
+        return found[(found >= 0) & (found < max(1, len(held) - 1))].tolist()
+
     def retrieve(self, terms: np.ndarray, blocks: set[int]) -> list[tuple[int, float]]:
         """Entries of some blocks whose score for these distinct terms reaches the threshold."""
         seen = np.array(sorted(blocks), np.int64)
@@ -201,12 +231,7 @@ class Index:
             return {}
         step, found = self.longest, {}
         held = [self.heavy_words.intersection(words[a : a + step]) for a in range(0, len(words), step)]
-        # What a passage brings to an entry is at most what its two steps do.
-        most = [max(self._brought(h).values(), default=0.0) for h in held] + [0.0]
-        least = min(self.needed)
-        for k in range(max(1, len(held) - 1)):
-            if most[k] + most[k + 1] < least:
-                continue
+        for k in self._passages(held):
             blocks = self.hopeful(held[k].union(*held[k + 1 : k + 2]))
             if blocks:
                 own = {self.terms[w] for w in words[k * step : (k + 2) * step] if w in self.terms}

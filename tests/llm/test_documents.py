@@ -208,3 +208,26 @@ def test_retrieval_is_that_of_scoring_every_item():
         want = {i for i, s in enumerate(scores) if s >= 0.2 - 1e-12}
         blocks = index.hopeful(index.heavy_words.intersection(words))
         assert {i for i, _ in index.retrieve(terms, blocks)} == want if blocks else not want
+
+
+def test_passages_are_chosen_for_all_steps_at_once():
+    """Every passage that may retrieve an item is looked at, and few others are."""
+    dice = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(dice.choices(vocabulary, k=12)), " ".join(dice.choices(vocabulary, k=9))) for i in range(80)]
+    index = decontaminate.Index(items, near=True)
+    step = index.longest
+    looked_at = 0
+    for planted in range(40):
+        words = dice.choices(vocabulary, k=dice.randint(1, 400))
+        if planted % 2:
+            at = dice.randrange(len(words))
+            words[at:at] = items[planted][1].split()
+        held = [index.heavy_words.intersection(words[a : a + step]) for a in range(0, len(words), step)]
+        chosen = index._passages(held)
+        passages = range(max(1, len(held) - 1))
+        assert {k for k in passages if index.hopeful(held[k].union(*held[k + 1 : k + 2]))} <= set(chosen) <= set(passages)
+        looked_at += len(chosen)
+        assert not planted % 2 or planted in {index.wholes[i][0] for i in index.search(words)}
+    assert looked_at > 20
+    assert index._passages([set()]) == []
