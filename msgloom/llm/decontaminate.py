@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgloom.llm.common import Batches, Rows, text_or_empty, unused
+from msgloom.llm.common import Batches, Rows, few_rows, text_or_empty, tidy, unused
 
 WORD = re.compile(r"\w+")
 K1, B = 1.2, 0.75
@@ -271,7 +271,7 @@ class Index:
 def _search(index):
     def search(batches: Batches) -> Iterator[pa.RecordBatch]:
         out, made = Rows(FOUND), index.value
-        for batch in batches:
+        for batch in few_rows(batches):
             for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words = words_of(text)
                 for row in made.verify(words, made.search(words)) if words else ():
@@ -279,7 +279,7 @@ def _search(index):
                 yield from out.ready()
         yield from out.rest()
 
-    return search
+    return tidy(search)
 
 
 def indexes(items: DataFrame, id_col: str, question_col: str, answer_col: str | None,

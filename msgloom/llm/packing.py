@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from msgloom.llm.common import Batches, Rows, stored, text_or_empty
+from msgloom.llm.common import Batches, Rows, few_rows, stored, text_or_empty, tidy
 from msgloom.llm.encoders import encoder, id_kind, slices
 
 ENCODED = pa.schema([("part", pa.int32()), ("local", pa.int64()), ("doc_id", pa.int64()),
@@ -37,7 +37,7 @@ def _encode(vocab: str, end_id: int, kind: str):
 
         part, local, out = TaskContext.get().partitionId(), 0, Rows(ENCODED)
         enc, end, width = encoder(vocab, kind), np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
-        for batch in batches:
+        for batch in few_rows(batches, 1000):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
                 for key, packed in zip(keys[a:b], enc.many(texts[a:b])):
@@ -46,8 +46,9 @@ def _encode(vocab: str, end_id: int, kind: str):
                     local += len(packed) // width
                 yield from out.ready()
         yield from out.rest()
+        enc.settle()
 
-    return encode
+    return tidy(encode)
 
 
 def _cut(window: int, kind: str, with_ids: bool):
@@ -67,7 +68,7 @@ def _cut(window: int, kind: str, with_ids: bool):
                 yield from out.ready()
         yield from out.rest()
 
-    return cut
+    return tidy(cut)
 
 
 def pack(docs: DataFrame, window: int = 4096, vocab: str = "word_bpe_49k.json", end_id: int = 2,

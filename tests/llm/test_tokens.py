@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import random
+import re
 import zlib
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 
 from msgloom.llm import packing, token_counts, token_files
+from msgloom.llm.common import few_rows, tidy
 from msgloom.llm.encoders import encoder, tokenizer
 from msgloom.session import shared_dir
 
@@ -19,6 +25,7 @@ TEXTS = [
     "naïve 漢字 かな 🙂🙂 e", "word " * 300, "x" * 3000, " " * 500 + "a", "a\n" * 200,
     "one two  three\n\n  four 'll 's I'd " * 80, "z" * 900 + " " + "the cat <|endoftext|> " * 90,
 ]
+TO_LETTERS = str.maketrans("0123456789", "ghijklmnop")
 EXTRA = "doc_id long, text string, ids string, part int, n_bytes string"
 
 
@@ -44,6 +51,20 @@ def test_encoder_gives_the_ids_of_the_library(vocab):
     assert encoder(vocab, counts=True).many(texts) == [len(ids_of(vocab, t)) for t in texts]
 
 
+def test_a_task_leaves_little_in_the_encoder(monkeypatch):
+    monkeypatch.setattr(TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    rare = [f"the {random.Random(k).getrandbits(60):x}qz".translate(TO_LETTERS) for k in range(3000)]
+    texts = [" ".join(rare), "naïve 漢字 かな", TEXTS[13]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": texts})
+    made = [r for b in packing._encode(WORDS, 2, "<u2")(iter([batch])) for r in b.to_pylist()]
+    assert [np.frombuffer(r["ids"], "<u2").tolist() for r in made] == [[*ids_of(WORDS, t), 2] for t in texts]
+    enc = encoder(WORDS, "<u2")
+    held = enc.young | enc.elder
+    assert "the" in held and all(len(ids_of(WORDS, part)) == 1 for part in held)
+    assert not enc.kept and not enc.word_parts
+    assert [np.frombuffer(x, "<u2").tolist() for x in enc.many(texts)] == [ids_of(WORDS, t) for t in texts]
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(200, 70), (1000, 300), (1 << 15, 1 << 10)])
 def test_counts_of_cut_texts(spark, chunk, overlap):
     docs = frame(spark, TEXTS)
@@ -119,3 +140,24 @@ def test_empty_tables(spark):
     assert packing.pack(none).count() == 0
     assert token_counts.count_tokens(none).count() == 0
     assert token_files.token_files(none).count() == 0
+
+
+def test_a_task_gives_its_memory_back():
+    def held():
+        found = re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+        return int(found[0]) >> 10
+
+    def task(batches):
+        for batch in few_rows(batches):
+            assert len(batch) <= 500
+            texts = [t * 3 for t in batch.column(0).to_pylist()]
+            kept.extend(texts)
+            yield pa.RecordBatch.from_pydict({"text": pa.array([t[:9] for t in texts])})
+        pins.append("x" * 5000)  # stands above what is freed, so that the C library keeps that
+        kept.clear()
+
+    kept, pins, batch = [], [], pa.RecordBatch.from_pydict({"text": [str(k) * 300 for k in range(40_000)]})
+    list(task(iter([batch])))
+    before = held()
+    assert sum(map(len, tidy(task)(iter([batch])))) == len(batch)
+    assert held() <= before - 30
