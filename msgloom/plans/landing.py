@@ -12,7 +12,7 @@ from msgloom import config
 from msgloom.functions.times import When, date_parts, moment
 from msgloom.operators import aggregate, dedup, numbering
 from msgloom.plans.notifications import existing_layer
-from msgloom.session import shared_dir
+from msgloom.session import shared_dir, shuffles_freed
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
@@ -51,7 +51,8 @@ def write_envelopes(documents: DataFrame, path: str) -> None:
     """One pretty-printed document per file, compressed: its many blanks and names cost nothing."""
     text = F.to_json(F.struct("metadata", "data"), {"pretty": "true"}).alias("value")
     writer = documents.select(text).write.mode("overwrite").option("maxRecordsPerFile", 1)
-    writer.text(path, compression="gzip")
+    with shuffles_freed(documents.sparkSession):
+        writer.text(path, compression="gzip")
 
 
 def last_cursor(spark: SparkSession, run_log: str, job: str) -> str | None:

@@ -28,7 +28,7 @@ from msgloom.functions.text import (
 from msgloom.functions.times import When, epoch_to_ts, event_date, moment, run_dates
 from msgloom.operators import aggregate, classify, dedup, known_ids, shape
 from msgloom.schemas import NOTIFICATION, OPTIMIZED_CAMPAIGN, UNIFIED
-from msgloom.session import shared_dir
+from msgloom.session import shared_dir, shuffles_freed
 from msgloom.sinks import writers
 from msgloom.sources import readers
 
@@ -276,7 +276,8 @@ def merge_current(spark: SparkSession, table: str, new: DataFrame, partitions: l
     kept = touched.withColumn("_campaign", campaign).join(keys, "_campaign", "left_anti")
     merged = kept.drop("_campaign").unionByName(new.select(*held.columns))
     copy = f"{_merges(spark, table)}/{uuid.uuid4().hex[:12]}"
-    merged.write.parquet(f"{copy}/rows")
+    with shuffles_freed(spark):
+        merged.write.option("compression", "zstd").parquet(f"{copy}/rows")
     # Written last: a copy that has this list is whole.
     kinds = T.StructType([T.StructField(p, held.schema[p].dataType) for p in partitions])
     spark.createDataFrame(present, kinds).coalesce(1).write.parquet(f"{copy}/present")
@@ -334,7 +335,7 @@ def _not_known(
     neither shuffled nor sorted for it. Those found new are written there too: few of them
     are broadcast to a second reading of the files, and none make it needless.
     """
-    raw.select("record_id").write.parquet(f"{work}/landed")
+    raw.select("record_id").write.option("compression", "zstd").parquet(f"{work}/landed")
     ids = spark.read.schema("record_id STRING").parquet(f"{work}/landed")
     if layers.known_ids:
         held = readers.read_layer(spark, layers.raw, raw.schema)
@@ -345,7 +346,8 @@ def _not_known(
         )
     else:
         new = dedup.anti_new_rows(ids, known, "record_id")
-    new.distinct().write.parquet(f"{work}/new")
+    with shuffles_freed(spark):
+        new.distinct().write.option("compression", "zstd").parquet(f"{work}/new")
     found = spark.read.schema("record_id STRING").parquet(f"{work}/new")
     if found.isEmpty():
         return raw.filter(F.lit(False))
@@ -410,7 +412,12 @@ def run(
         days = _days_since(done, _taken_up(spark, layers.run_log, "unified_batch"))
         metrics["unified_rows"] = 0
         if days:
+            # Kept, as several reads need it and the next shuffle need not stand beside this one's.
+            work = shared_dir(spark, "current")
             current = newest_campaigns(done.filter(F.col("processing_date").isin(days)))
+            with shuffles_freed(spark):
+                current.write.option("compression", "zstd").parquet(f"{work}/rows")
+            current = readers.read_layer(spark, f"{work}/rows", current.schema)
             number = (readers.read_catalog_max(spark, layers.table, "batch_id") or 0) + 1
             unified = to_unified(current, as_of, number)
             partitions = ["connector_id", "event_date"]
@@ -418,11 +425,13 @@ def run(
                 metrics["unified_rows"] = unified.count()
                 merge_current(spark, layers.table, unified, partitions)
             else:
-                unified, seen = aggregate.row_counts(
-                    writers.compact(unified, *partitions), f"{run_id}-unified"
-                )
+                # Gathered before they are widened: the shuffle holds each value once.
+                gathered = writers.compact(current, "connector_id", "send_date")
+                unified = to_unified(gathered, as_of, number)
+                unified, seen = aggregate.row_counts(unified, f"{run_id}-unified")
                 writers.append_table(unified, layers.table, partitions, layers.table_path)
                 metrics["unified_rows"] = aggregate.observed(seen).get("rows", 0)
+            writers.remove_folder(spark, work)
         metrics["unified_batch"] = highest
     except Exception as error:
         writers.write_run_log(spark, layers.run_log, error=str(error), **log)

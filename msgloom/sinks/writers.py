@@ -12,6 +12,7 @@ from pyspark.storagelevel import StorageLevel
 from msgloom.functions.times import date_parts
 from msgloom.operators.aggregate import observed
 from msgloom.schemas import RUN_LOG
+from msgloom.session import shuffles_freed
 
 Sink = Callable[[DataFrame], None]
 Projection = Callable[[DataFrame], DataFrame]
@@ -28,7 +29,9 @@ def compact(df: DataFrame, *keys: str) -> DataFrame:
 
 def append_layer(df: DataFrame, path: str, partition: str = "processing_date") -> None:
     """Add rows to a layer below their run-date folder."""
-    df.write.mode("append").partitionBy(partition).parquet(path)
+    writer = df.write.mode("append").option("compression", "zstd").partitionBy(partition)
+    with shuffles_freed(df.sparkSession):
+        writer.parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
@@ -36,12 +39,9 @@ def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
 
     Ids that are hashes make up much of a layer; zstd halves their hex digits, snappy does not.
     """
-    (
-        df.write.mode("overwrite")
-        .options(partitionOverwriteMode="dynamic", compression="zstd")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+    writer = df.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd")
+    with shuffles_freed(df.sparkSession):
+        writer.partitionBy(*keys).parquet(path)
 
 
 def replace_partitions(
@@ -95,10 +95,11 @@ def append_table(
     df: DataFrame, table: str, partitions: Sequence[str], path: str | None = None
 ) -> None:
     """Create the catalog table with its partitions on the first call, then append by name."""
-    writer = df.write.format("parquet").partitionBy(*partitions).mode("append")
+    writer = df.write.format("parquet").partitionBy(*partitions).mode("append").option("compression", "zstd")
     if path and not df.sparkSession.catalog.tableExists(table):
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    with shuffles_freed(df.sparkSession):
+        writer.saveAsTable(table)
 
 
 def write_ndjson(
@@ -120,20 +121,29 @@ def write_ndjson(
     writer.json(path)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, header: bool = True, compression: str | None = None) -> None:
     """CSV with a header; texts that hold a comma, quote or line break are quoted.
 
     Empty texts and nulls are both written as nothing between the commas; blanks at the ends
-    of a text stay.
+    of a text stay. Files whose texts hold line breaks are read whole by one task each,
+    compressed or not.
     """
     options = {"header": header, "escape": '"', "emptyValue": "",
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode("overwrite").options(**options).csv(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.mode("overwrite").options(**options).csv(path, compression=compression)
 
 
-def write_lines(df: DataFrame, path: str, line: str = "value") -> None:
-    """Lines of text as they are."""
-    df.select(line).write.mode("overwrite").text(path)
+def write_lines(
+    df: DataFrame, path: str, line: str = "value", compression: str | None = None, max_records: int = 0
+) -> None:
+    """Lines of text as they are, in files of at most ``max_records`` rows if that is given.
+
+    A compressed file is read by one task, so that the number of rows bounds that task.
+    """
+    writer = df.select(line).write.mode("overwrite").option("maxRecordsPerFile", max_records)
+    with shuffles_freed(df.sparkSession):
+        writer.text(path, compression=compression)
 
 
 def fan_out(df: DataFrame, outputs: Sequence[tuple[Projection, Sink]]) -> None:
