@@ -24,11 +24,12 @@ def clean_dump(
     run_log: str,
     as_of: dt.datetime,
     columns: list[str] | None = None,
+    compression: str | None = None,
 ) -> dict:
     """Dump rows as CSV with the dump's own header; lines that do not fit go to ``rejected``.
 
     Quoted values may reach over lines. The dump is parsed once, into a work folder that both
-    outputs are written from; it is removed in the end.
+    outputs are written from; it is removed in the end. The CSV files are compressed if asked for.
     """
     columns = columns or sqldump.tuple_header(read_sql_dump(spark, source))
     if not columns:
@@ -39,7 +40,8 @@ def clean_dump(
         place = ("file", "block", "kind")
         pieces = dump_text.read_pieces(spark, source)
         in_part = F.col("kind") != dump_text.WHOLE
-        sqldump.read_tuples(pieces, columns, "value", place, in_part).write.parquet(work)
+        parsed = sqldump.read_tuples(pieces, columns, "value", place, in_part)
+        parsed.write.option("compression", "zstd").parquet(work)
         read = spark.read.parquet(work)
         parts = read.filter(in_part).withColumnRenamed("line", "value")
         over_blocks = sqldump.read_tuples(dump_text.joined_pieces(parts), columns)
@@ -47,8 +49,8 @@ def clean_dump(
         good, bad = sqldump.rows_and_rejects(read, columns)
         good, kept = aggregate.row_counts(good, f"{run_id}-good")
         bad, left = aggregate.row_counts(bad, f"{run_id}-bad")
-        writers.write_csv(good, target)
-        writers.write_csv(bad, rejected)
+        writers.write_csv(good, target, compression=compression)
+        writers.write_csv(bad, rejected, compression=compression)
     finally:
         writers.remove_folder(spark, work)
     metrics = {

@@ -415,8 +415,8 @@ def dump_values_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     note = F.concat(F.regexp_extract("value", "^([^']*'[^']*','[^']*',)", 1), F.lit("'"), long, F.lit("',"),
                     F.regexp_extract("value", r"(-?\d+\)[,;])$", 1))
     lines = dump_lines(spark, sf_dir).select(F.when(key % 3 == 0, note).otherwise(F.col("value")).alias("value"))
-    writers.write_lines(lines, f"{base}/in")
-    dumps.clean_dump(spark, f"{base}/in", f"{base}/csv", f"{base}/bad", f"{base}/log", WHEN, DUMP_COLUMNS)
+    writers.write_lines(lines, f"{base}/in", compression="gzip", max_records=100_000)
+    dumps.clean_dump(spark, f"{base}/in", f"{base}/csv", f"{base}/bad", f"{base}/log", WHEN, DUMP_COLUMNS, "gzip")
     found = spark.read.options(header=True, multiLine=True, escape='"').csv(f"{base}/csv")
     return found.fillna("")
 
